@@ -8,10 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality of equally named key columns (still a hash-join key)."""
-    return reduce(lambda a, b: a & b,
-                  [left[k].eqNullSafe(right[k]) for k in keys])
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],
+                   how: str = "inner") -> DataFrame:
+    """Join on equally named keys where null matches null; still a hash or merge join.
+
+    The right side's keys are left out of the result, as are all its columns in a
+    semi or anti join. Other column names must differ between the sides.
+    """
+    renamed = right.select(*[F.col(k).alias(f"__right_{k}") for k in keys],
+                           *[c for c in right.columns if c not in keys])
+    condition = reduce(lambda a, b: a & b,
+                       [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
+    return left.join(renamed, condition, how).drop(*[f"__right_{k}" for k in keys])
 
 
 def not_in(left: DataFrame, left_key: Column, values: DataFrame, value_col: str) -> DataFrame:

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidlens.functions import hash_unit, same_keys
+from bidlens.functions import hash_unit, null_safe_join
 from bidlens.operators.sizing import MAX_BROADCAST_ROWS, broadcast_within
 from bidlens.sources.workspace import materialize
 
@@ -56,10 +56,8 @@ def add_counts(old: DataFrame, new: DataFrame, qcs: tuple[str, ...]) -> DataFram
 def thin(units: DataFrame, counts: DataFrame, spec: SampleSpec) -> DataFrame:
     """Rows with u below their stratum's present rate, with rate and weight."""
     rates = counts.select(*spec.qcs, spec.rate().alias(RATE))
-    kept = units.join(rates, same_keys(units, rates, list(spec.qcs))).where(
-        units[UNIT] < rates[RATE])
-    return kept.select(*[units[c] for c in units.columns], rates[RATE],
-                       (F.lit(1.0) / rates[RATE]).alias(WEIGHT))
+    return (null_safe_join(units, rates, list(spec.qcs)).where(F.col(UNIT) < F.col(RATE))
+            .withColumn(WEIGHT, F.lit(1.0) / F.col(RATE)))
 
 
 def with_unit(df: DataFrame, spec: SampleSpec) -> DataFrame:
@@ -88,33 +86,26 @@ def floor_sample(df: DataFrame, spec: SampleSpec,
     sample and not the strata. A stratum whose candidates fall short is
     ranked whole, which keeps the result exact.
     """
-    from pyspark.sql import Window
-
     counts = materialize(strata_counts(df, spec.qcs))
     wanted = F.ceil(spec.rate() * F.col(STRATUM_ROWS)).cast("bigint")
     # Six standard deviations above the wanted number.
     reach = F.least(F.lit(1.0), (wanted + 6 * F.sqrt(wanted.cast("double")) + 6)
                     / F.col(STRATUM_ROWS).cast("double"))
-    limits = counts.select(*spec.qcs, wanted.alias("__wanted"), reach.alias("__reach"),
-                           STRATUM_ROWS)
+    limits = counts.select(*spec.qcs, STRATUM_ROWS, wanted.alias("__wanted"),
+                           reach.alias("__reach"))
     units = with_unit(df, spec)
+    keys = list(spec.qcs)
 
     def candidates(bounds: DataFrame) -> DataFrame:
-        joined = units.join(bounds, same_keys(units, bounds, list(spec.qcs)))
-        return joined.where(units[UNIT] < bounds["__reach"]).select(
-            *[units[c] for c in units.columns],
-            bounds["__wanted"], bounds[STRATUM_ROWS])
-
-    first = broadcast_within(limits, max_broadcast_rows)
-    found = (candidates(first).groupBy(*spec.qcs).agg(F.count(F.lit(1)).alias("__found")))
-    checked = limits.join(found, same_keys(limits, found, list(spec.qcs)), "left").select(
-        *[limits[c] for c in spec.qcs], limits["__wanted"], limits[STRATUM_ROWS],
-        F.when(F.coalesce(found["__found"], F.lit(0)) >= limits["__wanted"], limits["__reach"])
-         .otherwise(F.lit(1.0)).alias("__reach"))
-    checked = materialize(checked)
-    place = Window.partitionBy(*spec.qcs).orderBy(UNIT, *spec.key)
-    ranked = (candidates(broadcast_within(checked, max_broadcast_rows))
-              .withColumn("__place", F.row_number().over(place))
+        bounds = broadcast_within(bounds, max_broadcast_rows)
+        return null_safe_join(units, bounds, keys).where(F.col(UNIT) < F.col("__reach"))
+
+    found = candidates(limits).groupBy(*keys).agg(F.count(F.lit(1)).alias("__found"))
+    enough = F.coalesce("__found", F.lit(0)) >= F.col("__wanted")
+    checked = materialize(null_safe_join(limits, found, keys, "left").withColumn(
+        "__reach", F.when(enough, F.col("__reach")).otherwise(F.lit(1.0))).drop("__found"))
+    place = Window.partitionBy(*keys).orderBy(UNIT, *spec.key)
+    ranked = (candidates(checked).withColumn("__place", F.row_number().over(place))
               .where(F.col("__place") <= F.col("__wanted")))
     rate = F.col("__wanted").cast("double") / F.col(STRATUM_ROWS).cast("double")
     return (ranked.withColumn(RATE, rate).withColumn(WEIGHT, F.lit(1.0) / F.col(RATE))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidlens.functions import same_keys
+from bidlens.functions import null_safe_join
 from bidlens.sources.tables import target_columns
 
 
@@ -89,9 +89,8 @@ def upsert_latest(target: DataFrame, updates: DataFrame, keys: list[str],
     """
     updates = updates.select(*target.columns)
     touched = updates.select(*keys).distinct()
-    condition = same_keys(target, touched, keys)
-    contested = target.join(touched, condition, "left_semi")
-    untouched = target.join(touched, condition, "left_anti")
+    contested = null_safe_join(target, touched, keys, "left_semi")
+    untouched = null_safe_join(target, touched, keys, "left_anti")
     winners = latest_per_key(contested.unionByName(updates), keys, order_cols)
     return untouched.unionByName(winners)
 
@@ -105,7 +104,7 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
     """
     stored = spark.read.parquet(path)
     touched = updates.select(partition_by).distinct()
-    target = stored.join(touched, partition_by, "left_semi").select(*stored.columns)
+    target = null_safe_join(stored, touched, [partition_by], "left_semi")
     merged = upsert_latest(target, updates, keys, order_cols)
     (merged.hint("rebalance", partition_by).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))

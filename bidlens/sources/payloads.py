@@ -10,9 +10,11 @@ flat records. Bad payloads are never dropped: they come out with the reason in
 from __future__ import annotations
 
 import struct
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,9 @@ from bidlens.sources.schemas import avro_record
 
 OUT_ROWS = 8192  # rows per emitted Arrow batch
 
+# Ship these functions with the job, so that executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _read_long(buf: bytes, pos: int) -> tuple[int, int]:
     shift = value = 0

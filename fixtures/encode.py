@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import struct
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TEXT_FIELDS = ("publisher", "advertiser", "website", "geo")
 
 
