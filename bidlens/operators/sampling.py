@@ -22,6 +22,7 @@ UNIT = "sample_u"
 RATE = "sample_rate"
 WEIGHT = "sample_weight"
 STRATUM_ROWS = "stratum_rows"
+SLICES = 4096  # parts of the sampled range in which floor_sample counts
 
 
 @dataclass(frozen=True)
@@ -81,35 +82,40 @@ def floor_sample(df: DataFrame, spec: SampleSpec,
                  max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Like ``stratified_sample``, but never fewer than ``min_rows`` per stratum.
 
-    Each stratum yields its ceil(rate * N) rows with the smallest u. Candidates
-    come from an over-wide threshold first, so the ranking sees a small multiple of the
-    sample and not the strata. A stratum whose candidates fall short is
-    ranked whole, which keeps the result exact.
+    Each stratum yields its ceil(rate * N) rows with the smallest u. A histogram of
+    u per stratum finds the slice in which the last wanted row lies: rows of lower
+    slices are kept by a filter, and only that one slice, about a slice's
+    share of the sample, is ranked. So no task ever sees a whole stratum.
     """
     counts = materialize(strata_counts(df, spec.qcs))
-    wanted = F.ceil(spec.rate() * F.col(STRATUM_ROWS)).cast("bigint")
-    # Six standard deviations above the wanted number.
-    reach = F.least(F.lit(1.0), (wanted + 6 * F.sqrt(wanted.cast("double")) + 6)
-                    / F.col(STRATUM_ROWS).cast("double"))
-    limits = counts.select(*spec.qcs, STRATUM_ROWS, wanted.alias("__wanted"),
-                           reach.alias("__reach"))
-    units = with_unit(df, spec)
     keys = list(spec.qcs)
-
-    def candidates(bounds: DataFrame) -> DataFrame:
-        bounds = broadcast_within(bounds, max_broadcast_rows)
-        return null_safe_join(units, bounds, keys).where(F.col(UNIT) < F.col("__reach"))
-
-    found = candidates(limits).groupBy(*keys).agg(F.count(F.lit(1)).alias("__found"))
-    enough = F.coalesce("__found", F.lit(0)) >= F.col("__wanted")
-    checked = materialize(null_safe_join(limits, found, keys, "left").withColumn(
-        "__reach", F.when(enough, F.col("__reach")).otherwise(F.lit(1.0))).drop("__found"))
+    limits = broadcast_within(counts.select(
+        *keys, STRATUM_ROWS, spec.rate().alias("__reach"),
+        F.ceil(spec.rate() * F.col(STRATUM_ROWS)).cast("bigint").alias("__wanted")),
+        max_broadcast_rows)
+    # Slices cut [0, rate) finely; what lies beyond twice the rate shares one slice.
+    piece = F.least(F.floor(F.col(UNIT) / F.col("__reach") * SLICES), F.lit(2 * SLICES))
+    units = with_unit(df, spec)
+    placed = null_safe_join(units, limits, keys).withColumn("__slice", piece)
+    sizes = placed.groupBy(*keys, "__slice").agg(
+        F.count(F.lit(1)).alias("__n"), F.first("__wanted").alias("__wanted"))
+    upto = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    cuts = (sizes.withColumn("__total", F.sum("__n").over(upto))
+            .where((F.col("__total") >= F.col("__wanted"))
+                   & (F.col("__total") - F.col("__n") < F.col("__wanted")))
+            .select(*keys, F.col("__slice").alias("__cut"),
+                    (F.col("__wanted") - F.col("__total") + F.col("__n")).alias("__left")))
+    cuts = broadcast_within(materialize(cuts), max_broadcast_rows)
+    near = null_safe_join(placed, cuts, keys).where(F.col("__slice") <= F.col("__cut"))
     place = Window.partitionBy(*keys).orderBy(UNIT, *spec.key)
-    ranked = (candidates(checked).withColumn("__place", F.row_number().over(place))
-              .where(F.col("__place") <= F.col("__wanted")))
+    edge = (near.where(F.col("__slice") == F.col("__cut"))
+            .withColumn("__place", F.row_number().over(place))
+            .where(F.col("__place") <= F.col("__left")).drop("__place"))
+    kept = near.where(F.col("__slice") < F.col("__cut")).unionByName(edge)
     rate = F.col("__wanted").cast("double") / F.col(STRATUM_ROWS).cast("double")
-    return (ranked.withColumn(RATE, rate).withColumn(WEIGHT, F.lit(1.0) / F.col(RATE))
-                  .select(*units.columns, RATE, WEIGHT))
+    return (kept.withColumn(RATE, rate).withColumn(WEIGHT, F.lit(1.0) / F.col(RATE))
+                .select(*units.columns, RATE, WEIGHT))
 
 
 def sample_maintain(kept: DataFrame, counts: DataFrame, batch: DataFrame, spec: SampleSpec,

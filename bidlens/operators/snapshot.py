@@ -20,6 +20,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bidlens.operators.sizing import broadcast_within
 from bidlens.sources.workspace import drop_path, make_dir, path_exists, put_marker
 
 CATALOG = "catalog"
@@ -63,8 +64,8 @@ def changes(current: DataFrame, base_counts: DataFrame) -> DataFrame:
 def added_rows(current: DataFrame, changed: DataFrame) -> DataFrame:
     """The added rows, once each, with the number of added copies."""
     hashed = current.select("*", *_row_hashes(current))
-    more = changed.where("n > 0").withColumnRenamed("n", "_copies")
-    return (hashed.dropDuplicates(list(_HASHES)).join(more, list(_HASHES))
+    more = broadcast_within(changed.where("n > 0").withColumnRenamed("n", "_copies"))
+    return (hashed.join(more, list(_HASHES)).dropDuplicates(list(_HASHES))
                   .select(*current.columns, "_copies"))
 
 

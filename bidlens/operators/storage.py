@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidlens.functions import null_safe_join
+from bidlens.operators.sizing import broadcast_within
 from bidlens.sources.tables import target_columns
+from bidlens.sources.workspace import drop_path, list_names, materialize
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -24,7 +28,9 @@ def create_column_table(spark: SparkSession, name: str, schema: T.StructType,
                         location: str | None = None) -> DataFrame:
     """Create an empty Parquet table and return it.
 
-    A bucket key makes later joins and aggregations on it free of a shuffle.
+    A bucket key makes later joins and aggregations on it free of a shuffle; pick
+    one without very frequent values, since a value lives in one bucket. Without a
+    key, rows are stored as they come.
     ``location`` keeps the files outside the warehouse folder.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -84,11 +90,12 @@ def upsert_latest(target: DataFrame, updates: DataFrame, keys: list[str],
     End ``order_cols`` with enough columns to make the order total, then the
     result does not depend on arrival order and repeating the upsert changes
     nothing. Target rows whose key is not updated pass through a plain anti
-    join and are never sorted; only contested rows enter the ranking. The target
-    must hold one row per key already.
+    join and are never sorted; only contested rows enter the ranking. The updated
+    keys are stored and counted first, and broadcast if they are few, in which case
+    the target is not shuffled. The target must hold one row per key already.
     """
     updates = updates.select(*target.columns)
-    touched = updates.select(*keys).distinct()
+    touched = broadcast_within(materialize(updates.select(*keys).distinct()))
     contested = null_safe_join(target, touched, keys, "left_semi")
     untouched = null_safe_join(target, touched, keys, "left_anti")
     winners = latest_per_key(contested.unionByName(updates), keys, order_cols)
@@ -103,7 +110,7 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
     pruned at run time and their files stay as they are.
     """
     stored = spark.read.parquet(path)
-    touched = updates.select(partition_by).distinct()
+    touched = broadcast_within(materialize(updates.select(partition_by).distinct()))
     target = null_safe_join(stored, touched, [partition_by], "left_semi")
     merged = upsert_latest(target, updates, keys, order_cols)
     (merged.hint("rebalance", partition_by).write.mode("overwrite")
@@ -116,12 +123,8 @@ def retain_window(spark: SparkSession, path: str, date_column: str, days: int) -
     Works on partition folders only: no data file is read. The newest date
     present counts as day one.
     """
-    from datetime import date, timedelta
-
-    from bidlens.sources.workspace import drop_path, list_dirs
-
     prefix = f"{date_column}="
-    dates = [d[len(prefix):] for d in list_dirs(spark, path) if d.startswith(prefix)]
+    dates = [d[len(prefix):] for d in list_names(spark, path) if d.startswith(prefix)]
     dates = [d for d in dates if d != "__HIVE_DEFAULT_PARTITION__"]
     if not dates:
         return []

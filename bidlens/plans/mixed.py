@@ -19,10 +19,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bidlens.functions import mean_of, nation_code, not_in, safe_ratio, supplier_key
+from bidlens.operators.sizing import broadcast_within
+from bidlens.sources.workspace import materialize
 
 # ---------------------------------------------------------------------------
 # Default literals of the reports.
@@ -41,9 +43,13 @@ NEW_ORDER_KEY = {"no_o_id": "o_id", "no_w_id": "o_w_id", "no_d_id": "o_d_id"}
 CUSTOMER_KEY = {"o_c_id": "c_id", "o_w_id": "c_w_id", "o_d_id": "c_d_id"}
 
 
+TABLE_NAMES = ("order_line", "orders", "new_order", "customer", "stock", "item",
+               "supplier", "nation", "region")
+
+
 @dataclass(frozen=True)
 class MixedTables:
-    """The nine tables, and the modulus of the supplier key."""
+    """The nine tables, the modulus of the supplier key, and how to treat dimensions."""
 
     order_line: DataFrame
     orders: DataFrame
@@ -55,12 +61,23 @@ class MixedTables:
     nation: DataFrame
     region: DataFrame
     supplier_modulus: int | Column = SUPPLIER_MODULUS
+    check_dimensions: bool = False
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession,
-                     supplier_modulus: int = SUPPLIER_MODULUS) -> MixedTables:
-        names = [n for n in cls.__dataclass_fields__ if n != "supplier_modulus"]
-        return cls(**{n: spark.table(n) for n in names}, supplier_modulus=supplier_modulus)
+    def from_catalog(cls, spark: SparkSession, **settings) -> MixedTables:
+        return cls(**{n: spark.table(n) for n in TABLE_NAMES}, **settings)
+
+    def few(self, dimension: DataFrame) -> DataFrame:
+        """A filtered dimension that is about to be joined with order lines.
+
+        Spark broadcasts it by itself when its source files are small. Where they are
+        not, it cannot know that the filter leaves little, and by the time it does
+        the lines are already being shuffled. With ``check_dimensions`` the filtered
+        rows are stored and counted first, and broadcast only if they are few.
+        """
+        if not self.check_dimensions:
+            return dimension
+        return broadcast_within(materialize(dimension))
 
     def stock_supplier(self) -> Column:
         return supplier_key("s_w_id", "s_i_id", self.supplier_modulus)
@@ -114,8 +131,8 @@ def pricing_summary(t: MixedTables, delivered_after: str = START) -> DataFrame:
 def lowest_stock_suppliers(t: MixedTables, region_prefix: str = "Europ",
                            item_suffix: str = "b") -> DataFrame:
     nations = _region_nations(t, F.col("r_name").startswith(region_prefix))
-    suppliers = t.supplier.join(nations, F.col("su_nationkey") == F.col("n_nationkey"))
-    items = t.item.where(F.col("i_data").endswith(item_suffix)).select("i_id", "i_name")
+    suppliers = t.few(t.supplier.join(nations, F.col("su_nationkey") == F.col("n_nationkey")))
+    items = t.few(t.item.where(F.col("i_data").endswith(item_suffix)).select("i_id", "i_name"))
     # Only matching items need a minimum, so the filter on items comes first.
     held = (t.stock.select("s_i_id", "s_quantity", t.stock_supplier().alias("s_suppkey"))
             .join(suppliers.select("su_suppkey"), F.col("s_suppkey") == F.col("su_suppkey"),
@@ -161,9 +178,9 @@ def late_orders(t: MixedTables, form: str = "lines") -> DataFrame:
 def regional_revenue(t: MixedTables, region: str = "Europe",
                      entered_since: str = START) -> DataFrame:
     nations = _region_nations(t, F.col("r_name") == region).select("n_nationkey", "n_name")
-    suppliers = t.supplier.join(
+    suppliers = t.few(t.supplier.join(
         nations, F.col("su_nationkey") == F.col("n_nationkey")).select(
-        "su_suppkey", "su_nationkey", "n_name")
+        "su_suppkey", "su_nationkey", "n_name"))
     buyers = (t.customer.select("c_id", "c_w_id", "c_d_id",
                                 nation_code("c_state").alias("c_nation"))
               .join(nations, F.col("c_nation") == F.col("n_nationkey"), "left_semi"))
@@ -189,8 +206,9 @@ def nation_pair_revenue(t: MixedTables, first: str = "Germany",
                         second: str = "Cambodia") -> DataFrame:
     pair = t.nation.where(F.col("n_name").isin(first, second))
     n1, n2 = pair.alias("n1"), pair.alias("n2")
-    suppliers = t.supplier.join(n1, F.col("su_nationkey") == F.col("n1.n_nationkey")).select(
-        "su_suppkey", "su_nationkey", F.col("n1.n_name").alias("supp_name"))
+    suppliers = t.few(
+        t.supplier.join(n1, F.col("su_nationkey") == F.col("n1.n_nationkey")).select(
+            "su_suppkey", "su_nationkey", F.col("n1.n_name").alias("supp_name")))
     buyers = (t.customer.select("c_id", "c_w_id", "c_d_id",
                                 nation_code("c_state").alias("c_nation"))
               .join(n2, F.col("c_nation") == F.col("n2.n_nationkey"))
@@ -220,10 +238,10 @@ def market_share(t: MixedTables, nation: str = "Germany", region: str = "Europe"
               .select("c_id", "c_w_id", "c_d_id"))
     orders = t.orders.select("o_id", "o_w_id", "o_d_id", "o_c_id", "o_entry_d").join(
         buyers, _equal(CUSTOMER_KEY))
-    items = t.item.where((F.col("i_id") < items_below)
-                         & F.col("i_data").endswith(item_suffix)).select("i_id")
-    suppliers = t.supplier.join(
-        t.nation, F.col("su_nationkey") == F.col("n_nationkey")).select("su_suppkey", "n_name")
+    items = t.few(t.item.where((F.col("i_id") < items_below)
+                               & F.col("i_data").endswith(item_suffix)).select("i_id"))
+    suppliers = t.few(t.supplier.join(
+        t.nation, F.col("su_nationkey") == F.col("n_nationkey")).select("su_suppkey", "n_name"))
     lines = (t.order_line.where(F.col("ol_i_id") < items_below)
              .select("ol_o_id", "ol_w_id", "ol_d_id", "ol_i_id", "ol_supply_w_id", "ol_amount",
                      t.line_supplier("ol_supply_w_id").alias("ol_suppkey"))
@@ -237,9 +255,9 @@ def market_share(t: MixedTables, nation: str = "Germany", region: str = "Europe"
 
 
 def product_profit(t: MixedTables, item_suffix: str = "bb") -> DataFrame:
-    items = t.item.where(F.col("i_data").endswith(item_suffix)).select("i_id")
-    suppliers = t.supplier.join(
-        t.nation, F.col("su_nationkey") == F.col("n_nationkey")).select("su_suppkey", "n_name")
+    items = t.few(t.item.where(F.col("i_data").endswith(item_suffix)).select("i_id"))
+    suppliers = t.few(t.supplier.join(
+        t.nation, F.col("su_nationkey") == F.col("n_nationkey")).select("su_suppkey", "n_name"))
     lines = (t.order_line.select(
                 "ol_o_id", "ol_w_id", "ol_d_id", "ol_i_id", "ol_supply_w_id", "ol_amount",
                 t.line_supplier("ol_supply_w_id").alias("ol_suppkey"))
@@ -272,16 +290,20 @@ def customer_revenue(t: MixedTables, entered_since: str = START) -> DataFrame:
 
 def _nation_stock(t: MixedTables, nation: str, trimmed: bool = False) -> DataFrame:
     name = F.trim("n_name") if trimmed else F.col("n_name")
-    suppliers = _suppliers_of(t, t.nation.where(name == nation)).select("su_suppkey")
+    suppliers = t.few(_suppliers_of(t, t.nation.where(name == nation)).select("su_suppkey"))
     return (t.stock.select("s_i_id", "s_order_cnt", t.stock_supplier().alias("s_suppkey"))
             .join(suppliers, F.col("s_suppkey") == F.col("su_suppkey")))
 
 
+def _fraction_of(column: str, fraction: str) -> Column:
+    return F.sum(column).cast("decimal(20,0)") * F.lit(fraction).cast("decimal(10,6)")
+
+
 def stock_threshold(t: MixedTables, nation: str = "Germany",
                     fraction: str = "0.005") -> DataFrame:
     """The cut-off of ``important_stock`` alone, as one decimal."""
-    total = F.sum("s_order_cnt").cast("decimal(20,0)") * F.lit(fraction).cast("decimal(10,6)")
-    return _nation_stock(t, nation, trimmed=True).agg(total.alias("threshold"))
+    return _nation_stock(t, nation, trimmed=True).agg(
+        _fraction_of("s_order_cnt", fraction).alias("threshold"))
 
 
 def important_stock(t: MixedTables, nation: str = "Germany", fraction: str = "0.005",
@@ -293,7 +315,8 @@ def important_stock(t: MixedTables, nation: str = "Germany", fraction: str = "0.
     sums = (_nation_stock(t, nation).groupBy("s_i_id")
             .agg(F.sum("s_order_cnt").alias("ordercount")))
     if threshold is None:
-        limit = stock_threshold(t, nation, fraction).scalar()
+        # The total of the sums, so that both sides share one shuffle.
+        limit = sums.agg(_fraction_of("ordercount", fraction)).scalar()
     else:
         limit = F.lit(threshold).cast("decimal(38,6)")
     return (sums.where(F.col("ordercount").cast("decimal(20,0)") > limit)
@@ -374,15 +397,22 @@ def item_supplier_counts(t: MixedTables, not_prefix: str = "zz",
 
 
 def small_order_loss(t: MixedTables, item_suffix: str = "b") -> DataFrame:
-    items = t.item.where(F.col("i_data").endswith(item_suffix)).select("i_id")
-    lines = t.order_line.select("ol_i_id", "ol_quantity", "ol_amount")
-    # A repeated item id leaves the average as it is, and the average is per id.
-    average = (lines.join(items, F.col("ol_i_id") == F.col("i_id"), "left_semi")
-               .groupBy(F.col("ol_i_id").alias("t_i_id"))
-               .agg(mean_of("ol_quantity").alias("mean_quantity")))
-    small = lines.join(average, (F.col("ol_i_id") == F.col("t_i_id"))
-                       & (F.col("ol_quantity") < F.col("mean_quantity")))
-    return small.agg((F.sum("ol_amount").cast("double") / 2.0).alias("avg_yearly"))
+    """Half the revenue of the lines with less than their item's mean quantity.
+
+    Lines are first summed per item and quantity, in one scan and with a partial sum in
+    each task; means and the comparison then work on those few rows.
+    """
+    items = t.few(t.item.where(F.col("i_data").endswith(item_suffix)).select("i_id"))
+    by_quantity = (t.order_line.groupBy("ol_i_id", "ol_quantity")
+                   .agg(F.count("ol_quantity").alias("n"), F.sum("ol_amount").alias("amount"))
+                   .join(items, F.col("ol_i_id") == F.col("i_id"), "left_semi"))
+    item = Window.partitionBy("ol_i_id")
+    mean = F.try_divide(
+        F.sum(F.col("ol_quantity") * F.col("n")).over(item).cast("double"),
+        F.sum("n").over(item).cast("double"))
+    small = by_quantity.withColumn("mean_quantity", mean).where(
+        F.col("ol_quantity") < F.col("mean_quantity"))
+    return small.agg((F.sum("amount").cast("double") / 2.0).alias("avg_yearly"))
 
 
 def large_orders(t: MixedTables, amount_above: int = 200) -> DataFrame:
@@ -417,7 +447,7 @@ def class_revenue(t: MixedTables, classes: tuple = ITEM_CLASSES, min_quantity: i
 
 def excess_suppliers(t: MixedTables, nation: str = "Germany", item_prefix: str = "co",
                      delivered_after: str = EXCESS_AFTER) -> DataFrame:
-    items = t.item.where(F.col("i_data").startswith(item_prefix)).select("i_id")
+    items = t.few(t.item.where(F.col("i_data").startswith(item_prefix)).select("i_id"))
     sold = (t.order_line.where(_after("ol_delivery_d", delivered_after))
             .groupBy("ol_i_id").agg(F.sum("ol_quantity").alias("sold")))
     idle = (t.stock.join(items, F.col("s_i_id") == F.col("i_id"))
@@ -434,10 +464,12 @@ def waiting_suppliers(t: MixedTables, nation: str = "Germany") -> DataFrame:
     """Suppliers whose line was the last of its order to arrive, after entry.
 
     "No later line in the order" is tested against the order's latest delivery,
-    which is one aggregate instead of a self join over all pairs of lines.
+    which is one aggregate instead of a self join over all pairs of lines. The test
+    is an inequality so that the join is on the order alone: aggregate, join
+    and the join with orders then share one partitioning.
     """
-    local = _suppliers_of(t, t.nation.where(F.col("n_name") == nation)).select(
-        "su_suppkey", "su_name")
+    local = t.few(_suppliers_of(t, t.nation.where(F.col("n_name") == nation)).select(
+        "su_suppkey", "su_name"))
     lines = t.order_line.select("ol_o_id", "ol_w_id", "ol_d_id", "ol_i_id", "ol_delivery_d",
                                 t.line_supplier("ol_w_id").alias("ol_suppkey"))
     ours = lines.join(local, F.col("ol_suppkey") == F.col("su_suppkey"))
@@ -446,7 +478,7 @@ def waiting_suppliers(t: MixedTables, nation: str = "Germany") -> DataFrame:
         F.col("ol_d_id").alias("m_d_id")).agg(F.max("ol_delivery_d").alias("last_delivery"))
     last = (ours.join(latest, _equal({"ol_o_id": "m_o_id", "ol_w_id": "m_w_id",
                                       "ol_d_id": "m_d_id"})
-                      & (F.col("ol_delivery_d") == F.col("last_delivery"))))
+                      & (F.col("ol_delivery_d") >= F.col("last_delivery"))))
     orders = t.orders.select("o_id", "o_w_id", "o_d_id", "o_entry_d")
     waited = last.join(orders, _equal(ORDER_KEY)
                        & (F.col("ol_delivery_d") > F.col("o_entry_d")))

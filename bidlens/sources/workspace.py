@@ -69,9 +69,9 @@ def drop_path(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly below ``path``."""
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly below ``path``; none if it is missing."""
     fs, p = _file_system(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+    return sorted(status.getPath().getName() for status in fs.listStatus(p))

@@ -304,7 +304,7 @@ def _column_table(d: Data) -> DataFrame:
     name = f"ad_impressions_{uuid.uuid4().hex}"
     rows = _zoned(d.impressions).select(*IMPRESSION_COLUMNS)
     storage.drop_table(d.spark, name)
-    storage.create_column_table(d.spark, name, rows.schema, bucket_key="publisher", buckets=11,
+    storage.create_column_table(d.spark, name, rows.schema, bucket_key="cookie", buckets=11,
                                 location=work_dir(d.spark, "column-table"))
     storage.append_by_name(rows, name)
     return d.spark.table(name)

@@ -9,8 +9,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bidlens.plans.mixed import MixedTables
+from bidlens.plans.mixed import TABLE_NAMES, MixedTables
 
 RAW = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -140,9 +141,7 @@ class Data:
     def impressions(self) -> DataFrame:
         return self["impressions"]
 
-    def mixed(self) -> MixedTables:
-        from pyspark.sql import functions as F
-
-        names = [n for n in MixedTables.__dataclass_fields__ if n != "supplier_modulus"]
+    def mixed(self, **settings) -> MixedTables:
         modulus = self["supplier"].agg(F.count(F.lit(1))).scalar()
-        return MixedTables(**{n: self[f"ch_{n}"] for n in names}, supplier_modulus=modulus)
+        return MixedTables(**{n: self[f"ch_{n}"] for n in TABLE_NAMES},
+                           supplier_modulus=modulus, **settings)
