@@ -27,12 +27,17 @@ SLICES = 4096  # parts of the sampled range in which floor_sample counts
 
 @dataclass(frozen=True)
 class SampleSpec:
-    """Strata columns, target fraction, expected minimum per stratum, row key."""
+    """Strata columns, target fraction, expected minimum per stratum, row key.
+
+    Another ``seed`` gives another, independent sample. The key should be unique;
+    rows with equal keys are kept or left together.
+    """
 
     qcs: tuple[str, ...]
     fraction: float
     min_rows: int
     key: tuple[str, ...]
+    seed: str = ""
 
     def __post_init__(self):
         if not 0 < self.fraction <= 1 or self.min_rows < 0 or not self.qcs or not self.key:
@@ -62,7 +67,7 @@ def thin(units: DataFrame, counts: DataFrame, spec: SampleSpec) -> DataFrame:
 
 
 def with_unit(df: DataFrame, spec: SampleSpec) -> DataFrame:
-    return df.withColumn(UNIT, hash_unit(list(spec.key)))
+    return df.withColumn(UNIT, hash_unit(list(spec.key), spec.seed))
 
 
 def stratified_sample(df: DataFrame, spec: SampleSpec, counts: DataFrame | None = None,
