@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from bidlens.functions import null_safe_join
 from bidlens.operators.sizing import broadcast_within
 from bidlens.sources.tables import target_columns
-from bidlens.sources.workspace import drop_path, list_names, materialize
+from bidlens.sources.workspace import drop_path, list_names, materialize, path_exists
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -107,9 +107,13 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
     """Upsert into a partitioned Parquet table, rewriting only touched partitions.
 
     The partition column must be a function of the key. Other partitions are
-    pruned at run time and their files stay as they are.
+    pruned at run time and their files stay as they are. A missing table is created.
     """
-    stored = spark.read.parquet(path)
+    if not path_exists(spark, path):
+        first = latest_per_key(updates, keys, order_cols)
+        first.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+        return
+    stored = spark.read.schema(updates.schema).parquet(path)
     touched = broadcast_within(materialize(updates.select(partition_by).distinct()))
     target = null_safe_join(stored, touched, [partition_by], "left_semi")
     merged = upsert_latest(target, updates, keys, order_cols)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_roots: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -18,11 +20,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = os.environ.get("BIDLENS_LOCAL_WORK") or tempfile.mkdtemp(prefix="bidlens-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="bidlens-"))
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

@@ -95,12 +95,16 @@ def aggregate_rows(rolled: DataFrame) -> DataFrame:
 
 def start_append(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                  partitions: int | None = None, partition_by: list[str] | None = None,
-                 name: str | None = None) -> StreamingQuery:
+                 files_per_batch: int | None = None, name: str | None = None) -> StreamingQuery:
     """Append a stream's rows to a Parquet folder, exactly once.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger``; by default all data
-    present is processed and the query ends.
+    present is processed and the query ends. An aggregate has few rows per batch
+    but as many tasks as state partitions: ``files_per_batch`` gathers them into
+    fewer files, at the price of a shuffle of just those rows.
     """
+    if files_per_batch is not None:
+        df = df.repartition(files_per_batch)
     writer = (df.writeStream.format("parquet").outputMode("append")
                 .option("path", path).option("checkpointLocation", checkpoint)
                 .trigger(**(trigger or {"availableNow": True})))

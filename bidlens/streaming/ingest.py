@@ -17,6 +17,7 @@ from bidlens.operators.sampling import (
     UNIT, SampleSpec, add_counts, strata_counts, thin, with_unit,
 )
 from bidlens.operators.sizing import MAX_BROADCAST_ROWS, broadcast_within
+from bidlens.operators.storage import upsert_partitioned
 from bidlens.sources.workspace import drop_path, list_names, path_exists, put_marker
 from bidlens.streaming.continuous import start_append
 
@@ -36,6 +37,25 @@ def ingest_append(stream: DataFrame, path: str, checkpoint: str, trigger: dict |
                         trigger, partition_by=["day"])
 
 
+def ingest_upsert(stream: DataFrame, path: str, keys: list[str], order_cols: list[str],
+                  partition_by: str, checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Upsert each micro-batch into a partitioned table, greatest version first.
+
+    The order columns must make a total order; then an upsert may be repeated
+    and batches may come in any order without changing the table.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            upsert_partitioned(batch.sparkSession, path, batch, keys, order_cols, partition_by)
+        finally:
+            batch.unpersist()
+
+    return (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def _slot(root: str, part: str, batch_id: int) -> str:
     return f"{root}/{part}/{BATCH}={batch_id}"
 

@@ -300,20 +300,28 @@ def sample_ctes(qcs: str, fraction: float, floor: int) -> str:
                 FROM units JOIN rated USING ({using}) WHERE sample_u < sample_rate)"""
 
 
-def sample_oracle(body: str, qcs: str = "geo", fraction: float = 0.03, floor: int = 50,
-                  where: str = "") -> str:
+def sample_oracle(body: str, qcs: str = "geo", fraction: float = 0.03, floor: int = 50) -> str:
     return with_views(body, "impressions", extra=sample_ctes(qcs, fraction, floor))
 
 
+def aggregate_sample_oracle(body: str) -> str:
+    """The same over the hourly aggregate, whose key has three columns."""
+    key = " || ".join(f"length({c}) || ':' || {c}"
+                      for c in ("cast(epoch_us(time_stamp) AS varchar)", "publisher", "geo"))
+    ctes = (sample_ctes("geo", 0.03, 50).replace("FROM impressions", "FROM agg")
+            .replace("md5(cast(event_id AS varchar))", f"md5({key})"))
+    return with_views(body, "impressions", extra=f"{AGG},\n{ctes}")
+
+
 Z95 = 1.959963984540054
 
 
 def estimate_oracle(group: str, y: str, name: str, where: str = "") -> str:
     """Weighted total of y, rounded, with its relative error, top 20."""
     keys = f"{group}, " if group else ""
-    tail = (f" GROUP BY {group} ORDER BY round(sum(sample_weight * {y}), 3) DESC, {group} "
+    tail = (f" GROUP BY {group} ORDER BY round(sum(sample_weight * {y}), 6) DESC, {group} "
             "LIMIT 20") if group else ""
-    return (f"SELECT {keys}round(sum(sample_weight * {y}), 3) AS {name}, "
+    return (f"SELECT {keys}round(sum(sample_weight * {y}), 6) AS {name}, "
             f"round({Z95} * sqrt(sum(sample_weight * (sample_weight - 1) * {y} * {y})) "
             f"/ sum(sample_weight * {y}), 6) AS {name}_error, count(*) AS sample_rows "
             f"FROM sample {where}{tail}")

@@ -18,7 +18,7 @@ from bidlens.sources.workspace import work_dir
 from bidlens.streaming import continuous, ingest
 from fixtures.encode import as_messages, payloads as encoded
 from fixtures.oracle import (
-    AGG, ad_oracles, ch_oracles, click_oracles, estimate_oracle, sample_oracle, window_oracle,
+    AGG, ad_oracles, aggregate_sample_oracle, ch_oracles, click_oracles, estimate_oracle, sample_oracle, window_oracle,
 )
 from fixtures.views import VIEWS, Data, with_views
 
@@ -350,6 +350,17 @@ def _upsert_stored(d: Data) -> DataFrame:
     return d.spark.read.parquet(path).drop("day")
 
 
+@register("ingest_upsert", LATEST)
+def _ingest_upsert(d: Data) -> DataFrame:
+    path, home = _staged(d), work_dir(d.spark, "ingest-upsert")
+    rows = streams.replay_stream(d.spark, path, d.spark.read.parquet(path).schema, 2)
+    rows = (rows.withColumn("hour", F.date_trunc("hour", "time_stamp")).select(*UPSERT_SHOWN)
+            .withColumn("day", F.to_date("hour")))
+    ingest.ingest_upsert(rows, f"{home}/table", UPSERT_KEYS, UPSERT_ORDER, "day",
+                         f"{home}/checkpoint").awaitTermination()
+    return d.spark.read.parquet(f"{home}/table").drop("day")
+
+
 @register("retain_window", with_views(
     "SELECT time_stamp, publisher, cookie FROM impressions WHERE cast(time_stamp AS date) > "
     "(SELECT max(cast(time_stamp AS date)) FROM impressions) - 7", "impressions"))
@@ -394,13 +405,12 @@ def _maintain(d: Data) -> DataFrame:
     return sample.select(*SAMPLE_SHOWN)
 
 
-def _estimate(d: Data, group: list[str], name: str, spec: tuple, error: float,
+def _estimate(sample: DataFrame, group: list[str], name: str, spec: tuple, error: float,
               where: str | None = None) -> DataFrame:
-    sample = sampling.stratified_sample(d.impressions, BY_GEO)
     if where:
         sample = sample.where(where)
     got = approx.approx_aggregate(sample, group, {name: spec}, error=error)
-    got = got.select(*group, F.round(name, 3).alias(name),
+    got = got.select(*group, F.round(name, 6).alias(name),
                      F.round(f"{name}_error", 6).alias(f"{name}_error"), "sample_rows")
     return got.orderBy(F.desc(name), *group).limit(20) if group else got
 
@@ -409,8 +419,9 @@ def _estimated(entry: str, group: str | None, name: str, spec: tuple, error: flo
                where: str | None = None) -> None:
     y = "1" if len(spec) == 1 else f"{spec[1]}::double"
     text = sample_oracle(estimate_oracle(group or "", y, name, f"WHERE {where}" if where else ""))
-    register(entry, text)(
-        lambda d: _estimate(d, [group] if group else [], name, spec, error, where))
+    register(entry, text)(lambda d: _estimate(
+        sampling.stratified_sample(d.impressions, BY_GEO), [group] if group else [], name, spec,
+        error, where))
 
 
 _estimated("aqp_count_by_geo", "geo", "ad_count", ("count",), 0.5)
@@ -421,13 +432,33 @@ _estimated("aqp_sum_filtered", "geo", "sum_bid", ("sum", "bid"), 3.0,
            "publisher = 'publisher11'")
 
 
+OF_AGGREGATE = sampling.SampleSpec(("geo",), 0.03, 50, ("micros", "publisher", "geo"))
+
+
+def _aggregate_sample(d: Data) -> DataFrame:
+    micros = F.unix_micros(F.col("time_stamp").cast("timestamp"))
+    return sampling.stratified_sample(_hourly(d).withColumn("micros", micros), OF_AGGREGATE)
+
+
+@register("aqp_aggregate_count", aggregate_sample_oracle(estimate_oracle("geo", "1", "ad_count")))
+def _aggregate_count(d: Data) -> DataFrame:
+    return _estimate(_aggregate_sample(d), ["geo"], "ad_count", ("count",), 0.5)
+
+
+@register("aqp_aggregate_uniques", aggregate_sample_oracle(estimate_oracle(
+    "geo", "uniques", "total_uniques", "WHERE publisher = 'publisher11'")))
+def _aggregate_uniques(d: Data) -> DataFrame:
+    return _estimate(_aggregate_sample(d), ["geo"], "total_uniques", ("sum", "uniques"), 3.0,
+                     "publisher = 'publisher11'")
+
+
 @register("aqp_avg_by_geo", sample_oracle(
-    "SELECT geo, round(sum(sample_weight * bid::double) / sum(sample_weight), 6) AS avg_bid, "
+    "SELECT geo, round(sum(sample_weight * bid::double) / sum(sample_weight), 9) AS avg_bid, "
     "count(*) AS sample_rows FROM sample GROUP BY geo"))
 def _avg(d: Data) -> DataFrame:
     sample = sampling.stratified_sample(d.impressions, BY_GEO)
     got = approx.approx_aggregate(sample, ["geo"], {"avg_bid": ("avg", "bid")}, error=0.5)
-    return got.select("geo", F.round("avg_bid", 6).alias("avg_bid"), "sample_rows")
+    return got.select("geo", F.round("avg_bid", 9).alias("avg_bid"), "sample_rows")
 
 
 @register("aqp_exact_fallback", with_views(

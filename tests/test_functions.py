@@ -8,6 +8,7 @@ from bidlens.functions import (
     sketch_of, supplier_key,
 )
 from bidlens.operators.sizing import broadcast_within
+from bidlens.sources.workspace import checkpoint_root
 from conftest import rows
 
 
@@ -84,3 +85,18 @@ def test_broadcast_only_within_the_bound(spark):
         return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
 
     assert hinted(broadcast_within(small, 10)) and not hinted(broadcast_within(big, 10))
+
+
+class NoCheckpointDir:
+    """A session that names no checkpoint folder."""
+
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+
+
+def test_only_local_sessions_may_lack_a_checkpoint_folder():
+    local = NoCheckpointDir("local[2]")
+    assert checkpoint_root(local) == checkpoint_root(local)
+    with pytest.raises(ValueError):
+        checkpoint_root(NoCheckpointDir("yarn"))

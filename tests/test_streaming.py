@@ -189,6 +189,25 @@ def test_kafka_options():
         streams.kafka_options("h", "t", "middle")
 
 
+def test_kafka_needs_its_package_only(spark):
+    try:
+        got = streams.read_impressions(spark, {"brokers": "h:1", "topics": "t"}, "kafka")
+    except Exception as fault:
+        assert "kafka" in str(fault).lower()
+    else:
+        assert got.schema == IMPRESSION
+
+
+def test_few_files_per_batch(spark, landed):
+    home = work_dir(spark, "files")
+    rolled = continuous.cq_pub_geo(replay(spark, landed), "1 second", uniques="hll")
+    continuous.start_append(rolled, f"{home}/out", f"{home}/c", partitions=4,
+                            files_per_batch=1).awaitTermination()
+    out = spark.read.parquet(f"{home}/out")
+    files = out.select(F.input_file_name().alias("f"), "window_start").distinct()
+    assert out.count() == 4 and files.select("f").distinct().count() <= 3
+
+
 def click(second, item, district=1, spent=100):
     return (1, district, 7, item, spent, T0 + dt.timedelta(seconds=second))
 
