@@ -11,10 +11,10 @@ MAX_BROADCAST_ROWS = 200_000
 def broadcast_within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when the frame holds at most ``max_rows`` narrow rows.
 
-    The count stops after ``max_rows + 1`` rows. Pass a stored or checkpointed
-    frame, since the check reads it once more. A larger frame is returned
-    without a hint, so the join shuffles and adaptive execution splits skewed keys.
+    Pass a stored or checkpointed frame, since the check reads it once more; it is
+    a plain distributed count. A larger frame is returned without a hint, so the
+    join shuffles and adaptive execution splits skewed keys.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df

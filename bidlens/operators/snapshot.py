@@ -196,11 +196,11 @@ def _restored(spark: SparkSession, folder: str, table: str) -> DataFrame:
         return rows.withColumn("_copies", F.lit(1).cast("bigint"))
     before = _restored(spark, entry.base_dir, table)
     columns = rows.columns
-    both = before.select(*columns).unionByName(rows)
-    counted = both.select("*", *_row_hashes(both.drop("_copies"))).groupBy(*_HASHES).agg(
+    gone = broadcast_within(spark.read.parquet(f"{folder}/removed/{table}"))
+    hashed = before.select(*columns, *_row_hashes(before.drop("_copies")))
+    # Only rows that lost copies are grouped; the others pass and need no shuffle.
+    kept = hashed.join(gone, list(_HASHES), "left_anti").select(*columns)
+    fewer = hashed.join(gone, list(_HASHES)).groupBy(*_HASHES).agg(
         *[F.first(c).alias(c) for c in columns if c != "_copies"],
-        F.sum("_copies").alias("_copies"))
-    gone = spark.read.parquet(f"{folder}/removed/{table}")
-    return (counted.join(gone, list(_HASHES), "left")
-                   .withColumn("_copies", F.col("_copies") - F.coalesce("n", F.lit(0)))
-                   .where("_copies > 0").select(*columns))
+        (F.sum("_copies") - F.first("n")).alias("_copies"))
+    return kept.unionByName(rows).unionByName(fewer.where("_copies > 0").select(*columns))

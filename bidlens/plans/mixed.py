@@ -157,20 +157,30 @@ def undelivered_revenue(t: MixedTables, state_prefix: str = "A",
                    .select("o_id", "o_w_id", "o_d_id", "o_c_id", "o_entry_d")
                    .join(buyers, _equal(CUSTOMER_KEY))
                    .join(t.new_order, _equal(NEW_ORDER_KEY)))
-    return (t.order_line.join(open_orders, _equal(ORDER_KEY))
+    per_order = (t.order_line.groupBy("ol_o_id", "ol_w_id", "ol_d_id")
+                 .agg(F.sum("ol_amount").alias("amount")))
+    return (per_order.join(open_orders, _equal(ORDER_KEY))
             .groupBy("ol_o_id", "ol_w_id", "ol_d_id", "o_entry_d")
-            .agg(F.sum("ol_amount").alias("revenue"))
+            .agg(F.sum("amount").alias("revenue"))
             .select("ol_o_id", "ol_w_id", "ol_d_id", "revenue", "o_entry_d")
             .orderBy(F.desc("revenue"), "o_entry_d", "ol_o_id", "ol_w_id", "ol_d_id"))
 
 
 def late_orders(t: MixedTables, form: str = "lines") -> DataFrame:
-    """``lines`` counts late order lines; ``orders`` counts orders with a late line."""
-    how = {"lines": "inner", "orders": "left_semi"}[form]
+    """``lines`` counts late order lines; ``orders`` counts orders with a late line.
+
+    An order has a late line if its latest delivery is late, so the second form
+    joins one row per order.
+    """
     orders = t.orders.select("o_id", "o_w_id", "o_d_id", "o_ol_cnt", "o_entry_d")
     lines = t.order_line.select("ol_o_id", "ol_w_id", "ol_d_id", "ol_delivery_d")
+    if form == "orders":
+        lines = lines.groupBy("ol_o_id", "ol_w_id", "ol_d_id").agg(
+            F.max("ol_delivery_d").alias("ol_delivery_d"))
+    elif form != "lines":
+        raise ValueError(f"unknown form: {form}")
     late = orders.join(
-        lines, _equal(ORDER_KEY) & (F.col("ol_delivery_d") >= F.col("o_entry_d")), how)
+        lines, _equal(ORDER_KEY) & (F.col("ol_delivery_d") >= F.col("o_entry_d")))
     return (late.groupBy("o_ol_cnt").agg(F.count(F.lit(1)).alias("order_count"))
             .orderBy("o_ol_cnt"))
 

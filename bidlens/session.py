@@ -11,6 +11,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where the aggregate after the join then needs its own shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Spark checks the size; executors of a cluster can hold more than the default 10 MB.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
