@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,13 +40,19 @@ def nation_code(state: Column | str) -> Column:
     return F.ascii(F.substring(as_col(state), 1, 1))
 
 
-def hash_unit(key: list[str], seed: str = "") -> Column:
+def hash_unit(key: list[str], seed: str = "", portable: bool = False) -> Column:
     """Repeatable pseudo-random number in [0, 1) from the key columns.
 
-    Null and empty key parts stay apart, and parts are length-prefixed so that
-    ('a', 'bc') and ('ab', 'c') hash differently. With one key column and no
-    seed this is just md5 of the column's text, which other engines can repeat.
+    Null and empty key parts stay apart, as do ('a', 'bc') and ('ab', 'c'). The
+    ``portable`` form costs several times as much but can be repeated by any
+    engine that has md5: with one key column and no seed it hashes the column's text,
+    otherwise the parts' texts with their lengths in front.
     """
+    if not portable:
+        parts = [F.lit(seed)]
+        for name in key:
+            parts += [as_col(name), as_col(name).isNull()]
+        return F.shiftrightunsigned(F.xxhash64(*parts), 11).cast("double") / F.lit(float(2 ** 53))
     if len(key) == 1:
         text = F.coalesce(as_col(key[0]).cast("string"), F.lit(""))
     else:
@@ -57,7 +61,7 @@ def hash_unit(key: list[str], seed: str = "") -> Column:
             value = as_col(name).cast("string")
             parts.append(F.when(value.isNull(), F.lit("-")).otherwise(
                 F.concat(F.length(value).cast("string"), F.lit(":"), value)))
-        text = reduce(lambda a, b: F.concat(a, b), parts)
+        text = F.concat(*parts)
     if seed:
         text = F.concat(F.lit(seed), text)
     digits = F.substring(F.md5(text.cast("binary")), 1, HASH_DIGITS)

@@ -30,7 +30,8 @@ class SampleSpec:
     """Strata columns, target fraction, expected minimum per stratum, row key.
 
     Another ``seed`` gives another, independent sample. The key should be unique;
-    rows with equal keys are kept or left together.
+    rows with equal keys are kept or left together. ``portable`` draws by md5, which
+    other engines can repeat, instead of the faster xxhash64.
     """
 
     qcs: tuple[str, ...]
@@ -38,6 +39,7 @@ class SampleSpec:
     min_rows: int
     key: tuple[str, ...]
     seed: str = ""
+    portable: bool = False
 
     def __post_init__(self):
         if not 0 < self.fraction <= 1 or self.min_rows < 0 or not self.qcs or not self.key:
@@ -60,14 +62,19 @@ def add_counts(old: DataFrame, new: DataFrame, qcs: tuple[str, ...]) -> DataFram
 
 
 def thin(units: DataFrame, counts: DataFrame, spec: SampleSpec) -> DataFrame:
-    """Rows with u below their stratum's present rate, with rate and weight."""
+    """Rows with u below their stratum's present rate, with rate and weight.
+
+    Rows above the greatest rate of all go before the join, which is nearly all
+    of them when every stratum is large. ``counts`` should be stored.
+    """
     rates = counts.select(*spec.qcs, spec.rate().alias(RATE))
-    return (null_safe_join(units, rates, list(spec.qcs)).where(F.col(UNIT) < F.col(RATE))
+    possible = units.where(F.col(UNIT) < rates.agg(F.max(RATE)).scalar())
+    return (null_safe_join(possible, rates, list(spec.qcs)).where(F.col(UNIT) < F.col(RATE))
             .withColumn(WEIGHT, F.lit(1.0) / F.col(RATE)))
 
 
 def with_unit(df: DataFrame, spec: SampleSpec) -> DataFrame:
-    return df.withColumn(UNIT, hash_unit(list(spec.key), spec.seed))
+    return df.withColumn(UNIT, hash_unit(list(spec.key), spec.seed, spec.portable))
 
 
 def stratified_sample(df: DataFrame, spec: SampleSpec, counts: DataFrame | None = None,

@@ -27,8 +27,9 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {**ad_oracles(), **ch_oracles(), **click_oracles()}
 
 STATE_PARTITIONS = 8
-BY_GEO = sampling.SampleSpec(("geo",), 0.03, 50, ("event_id",))
-BY_GEO_PUBLISHER = sampling.SampleSpec(("geo", "publisher"), 0.02, 50, ("event_id",))
+BY_GEO = sampling.SampleSpec(("geo",), 0.03, 50, ("event_id",), portable=True)
+BY_GEO_PUBLISHER = sampling.SampleSpec(("geo", "publisher"), 0.02, 50, ("event_id",),
+                                       portable=True)
 IMPRESSION_COLUMNS = ["time_stamp", "publisher", "advertiser", "website", "geo", "bid", "cookie"]
 DAY = "1998-01-02"
 
@@ -432,7 +433,8 @@ _estimated("aqp_sum_filtered", "geo", "sum_bid", ("sum", "bid"), 3.0,
            "publisher = 'publisher11'")
 
 
-OF_AGGREGATE = sampling.SampleSpec(("geo",), 0.03, 50, ("micros", "publisher", "geo"))
+OF_AGGREGATE = sampling.SampleSpec(("geo",), 0.03, 50, ("micros", "publisher", "geo"),
+                                   portable=True)
 
 
 def _aggregate_sample(d: Data) -> DataFrame:

@@ -60,15 +60,17 @@ def test_mean_of_decimals_is_one_division(spark):
     assert df.where("v > 5").agg(mean_of("v")).first()[0] is None
 
 
-def test_hash_unit_is_uniform_and_keeps_key_parts_apart(spark):
-    u = spark.range(20000).select(hash_unit(["id"]).alias("u"))
+@pytest.mark.parametrize("portable", [False, True])
+def test_hash_unit_is_uniform_and_keeps_key_parts_apart(spark, portable):
+    u = spark.range(20000).select(hash_unit(["id"], portable=portable).alias("u"))
     low, high, mean = u.agg(F.min("u"), F.max("u"), F.avg("u")).first()
     assert 0 <= low < 0.001 and 0.999 < high < 1 and abs(mean - 0.5) < 0.01
     df = spark.createDataFrame([("a", "bc"), ("ab", "c"), (None, "c"), ("", "c"), ("-", "c")],
                                "x string, y string")
-    assert df.select(hash_unit(["x", "y"])).distinct().count() == 5
+    assert df.select(hash_unit(["x", "y"], portable=portable)).distinct().count() == 5
     one = spark.createDataFrame([("k",)], "x string")
-    assert one.select(hash_unit(["x"])).first() != one.select(hash_unit(["x"], "s")).first()
+    assert one.select(hash_unit(["x"], "", portable)).first() != one.select(
+        hash_unit(["x"], "s", portable)).first()
 
 
 def test_sketches_merge_to_the_whole(spark):
