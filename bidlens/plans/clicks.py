@@ -1,7 +1,8 @@
 """Click-stream reports per window, joined with the item table.
 
 Both work on streams (append mode) and on stored clicks. A stream of clicks is
-joined with the static item table batch by batch and needs no join state.
+joined with the static item table batch by batch and needs no join state; a click may
+come later than the newest one by ``watermark``, one window by default.
 """
 
 from __future__ import annotations
@@ -18,10 +19,8 @@ WINDOW = "60 seconds"
 MIN_PRICE = 50
 
 
-def _clock(clicks: DataFrame, watermark: str | None) -> DataFrame:
-    if not clicks.isStreaming:
-        return clicks
-    return clicks.withWatermark("cs_click_d", watermark or "0 seconds")
+def _clock(clicks: DataFrame, delay: str) -> DataFrame:
+    return clicks.withWatermark("cs_click_d", delay) if clicks.isStreaming else clicks
 
 
 def click_items(clicks: DataFrame, item: DataFrame, duration: str = WINDOW,
@@ -34,7 +33,7 @@ def click_items(clicks: DataFrame, item: DataFrame, duration: str = WINDOW,
     costly = item.where(F.col("i_price") > min_price).select("i_id")
     window = window_of(duration, ts="cs_click_d")
     if clicks.isStreaming:
-        rows = _clock(clicks, watermark).join(costly, F.col("cs_i_id") == F.col("i_id"))
+        rows = _clock(clicks, watermark or duration).join(costly, F.col("cs_i_id") == F.col("i_id"))
         return flat_window(rows.groupBy(window, "i_id").agg(F.count("i_id").alias("clicks")))
     counted = clicks.groupBy(window, "cs_i_id").agg(F.count(F.lit(1)).alias("n"))
     joined = counted.join(costly, F.col("cs_i_id") == F.col("i_id"))
@@ -51,7 +50,7 @@ def top_click_items(clicks: DataFrame, item: DataFrame, duration: str = WINDOW,
 def click_districts(clicks: DataFrame, duration: str = WINDOW,
                     watermark: str | None = None) -> DataFrame:
     """Average time spent per window and district."""
-    rows = _clock(clicks, watermark)
+    rows = _clock(clicks, watermark or duration)
     return flat_window(rows.groupBy(window_of(duration, ts="cs_click_d"), "cs_c_d_id")
                            .agg(mean_of("cs_timespent").alias("avg_timespent")))
 

@@ -35,12 +35,6 @@ def state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def _with_watermark(df: DataFrame, watermark: str | None, ts: str = "time_stamp") -> DataFrame:
-    if not df.isStreaming:
-        return df
-    return df.withWatermark(ts, watermark or "0 seconds")
-
-
 def cq_pub_geo(df: DataFrame, duration: str = "1 second", slide: str | None = None,
                watermark: str | None = None, unknown: str = UNKNOWN_GEO,
                by_timestamp: bool = False, uniques: str = "exact") -> DataFrame:
@@ -50,14 +44,17 @@ def cq_pub_geo(df: DataFrame, duration: str = "1 second", slide: str | None = No
     or ``hll``; the latter keeps one small sketch per group as state instead of
     one entry per cookie, and also returns the sketch as ``cookies``.
 
-    Exact uniques use two chained aggregations, since a stream cannot hold a
+    ``watermark`` is how much later than the newest row a row may come; the
+    default is one window. Exact uniques use two chained aggregations, since a stream cannot hold a
     distinct aggregate: by cookie first, then without it. State is bounded by the
     watermark; the first level spreads a hot publisher over its cookies.
     Output mode is append.
     """
     if uniques not in ("exact", "hll"):
         raise ValueError(f"unknown uniques: {uniques}")
-    rows = _with_watermark(resolved(df, unknown), watermark)
+    rows = resolved(df, unknown)
+    if df.isStreaming:
+        rows = rows.withWatermark("time_stamp", watermark or duration)
     keys = [window_of(duration, slide), *PUB_GEO]
     later = ["window", *PUB_GEO]
     if by_timestamp:

@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {**ad_oracles(), **ch_oracles(), **click_oracles()}
 
 STATE_PARTITIONS = 8
+NO_DELAY = "0 seconds"  # the given events are in order
 BY_GEO = sampling.SampleSpec(("geo",), 0.03, 50, ("event_id",), portable=True)
 BY_GEO_PUBLISHER = sampling.SampleSpec(("geo", "publisher"), 0.02, 50, ("event_id",),
                                        portable=True)
@@ -145,20 +146,22 @@ def _streamed(d: Data, label: str, result: DataFrame) -> DataFrame:
 
 @register("cq_exact_uniques", window_oracle("1 HOUR", "publisher, geo", closed=True))
 def _cq_stream(d: Data) -> DataFrame:
-    return _streamed(d, "cq-exact", continuous.cq_pub_geo(_event_stream(d), "1 hour"))
+    return _streamed(d, "cq-exact", continuous.cq_pub_geo(
+        _event_stream(d), "1 hour", watermark=NO_DELAY))
 
 
 @register("cq_exact_uniques_ts", window_oracle("1 HOUR", "publisher, geo", closed=True,
                                                instant=True))
 def _cq_stream_ts(d: Data) -> DataFrame:
     return _streamed(d, "cq-exact-ts", continuous.cq_pub_geo(
-        _event_stream(d), "1 hour", by_timestamp=True))
+        _event_stream(d), "1 hour", watermark=NO_DELAY, by_timestamp=True))
 
 
 @register("cq_stream_hll", window_oracle("2 HOUR", "publisher, geo", closed=True,
                                          slide="1 HOUR"))
 def _cq_stream_hll(d: Data) -> DataFrame:
-    rolled = continuous.cq_pub_geo(_event_stream(d), "2 hours", "1 hour", uniques="hll")
+    rolled = continuous.cq_pub_geo(_event_stream(d), "2 hours", "1 hour", NO_DELAY,
+                                   uniques="hll")
     return _streamed(d, "cq-hll", rolled.drop("cookies"))
 
 
@@ -172,7 +175,7 @@ def _cq_stream_hll(d: Data) -> DataFrame:
           "FROM impressions)"))
 def _cq_sql(d: Data) -> DataFrame:
     name = f"impression_stream_{uuid.uuid4().hex}"
-    streams.register_stream(name, _event_stream(d).withWatermark("time_stamp", "0 seconds"))
+    streams.register_stream(name, _event_stream(d).withWatermark("time_stamp", NO_DELAY))
     home = work_dir(d.spark, "cq-sql")
     query = continuous.continuous_query(
         d.spark,
@@ -330,11 +333,12 @@ LATEST = with_views(
 
 
 def _keyed_halves(d: Data) -> tuple[DataFrame, DataFrame]:
-    """A stored table and its updates, which together are all impressions."""
+    """A stored table from the first half of each hour, and updates from the second."""
     keyed = d.impressions.withColumn("hour", F.date_trunc("hour", "time_stamp")).select(
         *UPSERT_SHOWN)
-    first = storage.latest_per_key(keyed.where("event_id % 2 = 0"), UPSERT_KEYS, UPSERT_ORDER)
-    return first, keyed.where("event_id % 2 = 1")
+    early = F.minute("time_stamp") < 30
+    first = storage.latest_per_key(keyed.where(early), UPSERT_KEYS, UPSERT_ORDER)
+    return first, keyed.where(~early)
 
 
 @register("upsert_latest", LATEST)
@@ -580,12 +584,14 @@ def _closed_clicks(text: str) -> str:
 
 @register("clk_1_items_stream", _closed_clicks(ORACLES["clk_1_items"]))
 def _clk1_stream(d: Data) -> DataFrame:
-    return _streamed(d, "clk1", clicks.click_items(_click_stream(d), d["ch_item"], "1 day", 950))
+    return _streamed(d, "clk1", clicks.click_items(
+        _click_stream(d), d["ch_item"], "1 day", 950, NO_DELAY))
 
 
 @register("clk_2_districts_stream", _closed_clicks(ORACLES["clk_2_districts"]))
 def _clk2_stream(d: Data) -> DataFrame:
-    return _streamed(d, "clk2", clicks.click_districts(_click_stream(d), "1 day"))
+    return _streamed(d, "clk2", clicks.click_districts(
+        _click_stream(d), "1 day", NO_DELAY))
 
 
 # --- snapshots ---------------------------------------------------------------

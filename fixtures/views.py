@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bidlens.plans.mixed import TABLE_NAMES, MixedTables
 
@@ -120,6 +121,16 @@ class _Names(dict):
         return EACH_WAREHOUSE["duckdb"] if key == "each_warehouse" else key
 
 
+_schemas: dict[str, StructType] = {}
+
+
+def read_given(spark: SparkSession, path: str) -> DataFrame:
+    """A given table; its schema is taken from the file's footer once per path."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 class Data:
     """The given tables below ``sf_dir`` and the views on them, made on demand."""
 
@@ -134,14 +145,26 @@ class Data:
                 inputs = {n: self[n] for n in _inputs(name)}
                 self._frames[name] = self.spark.sql(text, **inputs)
             else:
-                self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                self._frames[name] = read_given(self.spark, f"{self.sf_dir}/{name}.parquet")
         return self._frames[name]
 
     @property
     def impressions(self) -> DataFrame:
         return self["impressions"]
 
-    def mixed(self, **settings) -> MixedTables:
-        modulus = self["supplier"].agg(F.count(F.lit(1))).scalar()
-        return MixedTables(**{n: self[f"ch_{n}"] for n in TABLE_NAMES},
-                           supplier_modulus=modulus, **settings)
+    def mixed(self, check_dimensions: bool = False) -> MixedTables:
+        return GivenTables(self, check_dimensions)
+
+
+class GivenTables(MixedTables):
+    """The mixed-workload tables as views, each made when a report first asks for it."""
+
+    def __init__(self, data: Data, check_dimensions: bool):
+        for name, value in (("_data", data), ("check_dimensions", check_dimensions), (
+                "supplier_modulus", data["supplier"].agg(F.count(F.lit(1))).scalar())):
+            object.__setattr__(self, name, value)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLE_NAMES:
+            raise AttributeError(name)
+        return self._data[f"ch_{name}"]

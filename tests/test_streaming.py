@@ -62,7 +62,8 @@ def at(second):
 
 
 def test_exact_uniques_over_batches_and_late_rows(spark, landed):
-    query, out = finished(spark, continuous.cq_pub_geo(replay(spark, landed), "1 second"))
+    query, out = finished(spark, continuous.cq_pub_geo(
+        replay(spark, landed), "1 second", watermark="0 seconds"))
     got = rows(out, "window_start", "publisher", "geo", "avg_bid", "imps", "uniques")
     assert got == [(at(0), "p1", "NJ", 4.0 / 3, 3, 2), (at(2), "p1", "NJ", 1.0, 1, 1),
                    (at(2), "p2", "NJ", 1.0, 1, 0), (at(5), "p1", "NJ", 1.0, 2, 1)]
@@ -77,6 +78,13 @@ def test_a_watermark_delay_lets_late_rows_in(spark, landed):
     assert continuous.late_rows(query) == 0
 
 
+def test_one_window_of_delay_by_default(spark, landed):
+    query, out = finished(spark, continuous.cq_pub_geo(replay(spark, landed), "10 seconds"))
+    assert continuous.late_rows(query) == 0
+    assert rows(out, "window_start", "publisher", "imps", "uniques") == [
+        (at(0), "p1", 7, 3), (at(0), "p2", 1, 0)]
+
+
 def test_sliding_sketches_equal_batch(spark, landed):
     _, out = finished(spark, continuous.cq_pub_geo(
         replay(spark, landed), "2 seconds", "1 second", watermark="10 seconds", uniques="hll"))
@@ -91,7 +99,7 @@ def test_sliding_sketches_equal_batch(spark, landed):
 
 def test_by_timestamp_splits_a_window(spark, landed):
     _, out = finished(spark, continuous.cq_pub_geo(
-        replay(spark, landed), "1 second", by_timestamp=True))
+        replay(spark, landed), "1 second", watermark="0 seconds", by_timestamp=True))
     first = out.where(F.col("window_start") == F.lit(at(0)))
     assert rows(first, "instant", "imps") == [(at(0), 1), (at(0.5), 1), (at(0.9), 1)]
 
@@ -200,7 +208,8 @@ def test_kafka_needs_its_package_only(spark):
 
 def test_few_files_per_batch(spark, landed):
     home = work_dir(spark, "files")
-    rolled = continuous.cq_pub_geo(replay(spark, landed), "1 second", uniques="hll")
+    rolled = continuous.cq_pub_geo(replay(spark, landed), "1 second", watermark="0 seconds",
+                                   uniques="hll")
     continuous.start_append(rolled, f"{home}/out", f"{home}/c", partitions=4,
                             files_per_batch=1).awaitTermination()
     out = spark.read.parquet(f"{home}/out")
@@ -222,9 +231,9 @@ def test_click_reports(spark, folder):
     assert rows(clicks.click_items(stored, item), "window_start", "i_id", "clicks") == want
     assert rows(clicks.top_click_items(stored, item, k=1), "i_id", "place") == [(5, 1), (9, 1)]
     stream = streams.replay_stream(spark, folder, CLICK)
-    _, out = finished(spark, clicks.click_items(stream, item))
+    _, out = finished(spark, clicks.click_items(stream, item, watermark="0 seconds"))
     assert rows(out, "window_start", "i_id", "clicks") == want[:2]
-    _, out = finished(spark, clicks.click_districts(stream))
+    _, out = finished(spark, clicks.click_districts(stream, watermark="0 seconds"))
     assert rows(out, "cs_c_d_id", "avg_timespent") == [(1, 400 / 3), (2, 300.0)]
     home = work_dir(spark, "reports")
     clicks.click_reports(stream, item, f"{home}/out", f"{home}/c", k=2).awaitTermination()
