@@ -14,7 +14,7 @@ RECOMMENDED = {
     # Split a hot key even where the aggregate after the join then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Sketches are small: keep many groups in memory before sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "1024",
     # Spark checks the size; executors of a cluster can hold more than the default 10 MB.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
