@@ -15,6 +15,7 @@ A snapshot with the marker is ignored as a baseline, and a full one is made.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -111,16 +112,42 @@ def _table_state(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return state.groupBy(*_HASHES).agg(F.sum("n").alias("n")).where("n <> 0")
 
 
+def _store_full(spark: SparkSession, folder: str, name: str, df: DataFrame) -> tuple:
+    """Write all rows of a table; returns its manifest entry."""
+    where = f"{folder}/data/{name}"
+    df.write.parquet(where)
+    rows = spark.read.schema(df.schema).parquet(where).count()
+    if rows:
+        return name, "full", rows, None
+    drop_path(spark, where)
+    return name, "empty", 0, None
+
+
+def _store_changes(spark: SparkSession, folder: str, name: str, df: DataFrame,
+                   baseline: str) -> tuple:
+    """Write what a table gained and lost since the baseline; returns its manifest entry."""
+    where, lost, work = (f"{folder}/{part}/{name}" for part in ("data", "removed", "changed"))
+    changes(df, _table_state(spark, baseline, name)).write.parquet(work)
+    changed = spark.read.parquet(work)
+    added_rows(df, changed).write.parquet(where)
+    removed_rows(changed).write.parquet(lost)
+    added, removed = changed.agg(F.sum(F.when(F.col("n") > 0, F.col("n"))),
+                                 F.sum(F.when(F.col("n") < 0, F.col("n")))).first()
+    drop_path(spark, work)
+    return name, "incremental" if added or removed else "unchanged", added or 0, baseline
+
+
 def snapshot_tables(spark: SparkSession, target: str, include: str = ".*", exclude: str = "",
                     baseline: str | None = None, tables: dict[str, DataFrame] | None = None,
-                    at: datetime | None = None) -> DataFrame:
+                    at: datetime | None = None, parallel: int = 4) -> DataFrame:
     """Write a snapshot below ``target`` and return its manifest.
 
     ``tables`` defaults to all tables and views of the current database. The
     folder is named after the time (UTC) and must not exist. With a complete
     ``baseline`` folder, only changed rows are stored. Statuses: ``full``,
     ``incremental``, ``unchanged``, ``empty``; tables of the baseline that are now
-    gone are listed as ``missing``.
+    gone are listed as ``missing``. ``parallel`` tables are written at a time, each
+    by a Spark job of its own.
     """
     if not target:
         raise ValueError("no snapshot folder given")
@@ -144,29 +171,14 @@ def snapshot_tables(spark: SparkSession, target: str, include: str = ".*", exclu
     known: dict[str, str] = {}
     if baseline is not None:
         known = {r.table: r.status for r in _manifest(spark, baseline).collect()}
-    entries = []
-    for name in names:
-        df = tables[name]
-        where = f"{folder}/data/{name}"
-        if known.get(name, "missing") not in ("missing", "empty"):
-            changed = changes(df, _table_state(spark, baseline, name))
-            changed.write.parquet(f"{folder}/changed/{name}")
-            changed = spark.read.parquet(f"{folder}/changed/{name}")
-            added_rows(df, changed).write.parquet(where)
-            removed_rows(changed).write.parquet(f"{folder}/removed/{name}")
-            drop_path(spark, f"{folder}/changed/{name}")
-            added = spark.read.parquet(where).agg(F.sum("_copies")).first()[0] or 0
-            gone = spark.read.parquet(f"{folder}/removed/{name}").agg(F.sum("n")).first()[0] or 0
-            status = "incremental" if added or gone else "unchanged"
-            entries.append((name, status, added, baseline))
-            continue
-        df.write.parquet(where)
-        rows = spark.read.schema(df.schema).parquet(where).count()
-        if rows:
-            entries.append((name, "full", rows, None))
-        else:
-            drop_path(spark, where)
-            entries.append((name, "empty", 0, None))
+
+    def store(name: str) -> tuple:
+        if known.get(name, "missing") in ("missing", "empty"):
+            return _store_full(spark, folder, name, tables[name])
+        return _store_changes(spark, folder, name, tables[name], baseline)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        entries = list(pool.map(store, names))
     for name in chosen([n for n in known if n not in tables and known[n] != "missing"],
                        include, exclude):
         entries.append((name, "missing", 0, None))
