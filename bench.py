@@ -26,7 +26,9 @@ PREFIXES = ("ad_", "ch_", "clk_", "cq_", "aggregate_table", "merge_partials", "a
 # Variants of a query that is timed already.
 SKIPPED = ("cq_exact_uniques_ts", "ch_11_threshold", "ch_11_parameter_form",
            "ch_15_supplier_revenue", "ch_22_parameter_form", "ch_22_mean_balance",
-           "clk_1_items_stream", "clk_2_districts_stream", "aqp_exact_fallback")
+           "ch_05_checked_dimensions", "ch_21_checked_dimensions",
+           "clk_1_items_stream", "clk_2_districts_stream", "clk_1_reports_per_batch",
+           "clk_2_reports_per_batch", "aqp_exact_fallback")
 
 
 def run(df) -> None:

@@ -142,7 +142,18 @@ def show_batches(df: DataFrame, rows: int = 20, mode: str = "append") -> Streami
             .option("numRows", rows).option("truncate", "false").start())
 
 
+def print_rows(df: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Print each row where it is computed, into the executors' logs, for debugging."""
+    return (df.writeStream.foreach(lambda row: print(row.asDict()))
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after their window had closed, over the kept progress reports."""
+    """Rows that came after their window had closed, over the kept progress reports.
+
+    Spark counts them after its partial aggregation, so late rows of one group and
+    task count once.
+    """
     return sum(op["numRowsDroppedByWatermark"]
                for report in query.recentProgress for op in report["stateOperators"])

@@ -530,6 +530,17 @@ _ch("ch_20_excess_suppliers", 20, nation="NATION_15", item_prefix="PR",
 _ch("ch_21_waiting_suppliers", 21, nation="NATION_15")
 
 
+def _ch_checked(entry: str, number: int, **literals) -> None:
+    """The same report with its filtered dimensions stored, counted and broadcast."""
+    same = next(n for n in ORACLES if n.startswith(f"ch_{number:02d}_"))
+    register(entry, ORACLES[same])(
+        lambda d: mixed.ch_query(d.mixed(check_dimensions=True), number, **literals))
+
+
+_ch_checked("ch_05_checked_dimensions", 5, region="EUROPE", entered_since=DAY)
+_ch_checked("ch_21_checked_dimensions", 21, nation="NATION_15")
+
+
 @register("ch_11_parameter_form")
 def _ch11(d: Data) -> DataFrame:
     t = d.mixed()
@@ -594,6 +605,28 @@ def _clk2_stream(d: Data) -> DataFrame:
         _click_stream(d), "1 day", NO_DELAY))
 
 
+def _click_reports(d: Data, part: str) -> DataFrame:
+    home = work_dir(d.spark, "click-reports")
+    clicks.click_reports(_click_stream(d), d["ch_item"], f"{home}/out", f"{home}/checkpoint",
+                         min_price=950, k=10).awaitTermination()
+    return d.spark.read.parquet(f"{home}/out/{part}").drop("batch_id")
+
+
+@register("clk_1_reports_per_batch", with_views(
+    "SELECT i_id, count(*) AS clicks FROM clicks JOIN ch_item ON i_id = cs_i_id "
+    "WHERE i_price > 950 GROUP BY i_id ORDER BY clicks DESC, i_id LIMIT 10",
+    "clicks", "ch_item"))
+def _clk1_batch(d: Data) -> DataFrame:
+    return _click_reports(d, "items")
+
+
+@register("clk_2_reports_per_batch", with_views(
+    "SELECT cs_c_d_id, cast(sum(cs_timespent) AS double) / count(*) AS avg_timespent "
+    "FROM clicks GROUP BY cs_c_d_id", "clicks"))
+def _clk2_batch(d: Data) -> DataFrame:
+    return _click_reports(d, "districts")
+
+
 # --- snapshots ---------------------------------------------------------------
 
 SNAPSHOT_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")

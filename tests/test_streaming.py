@@ -206,6 +206,14 @@ def test_kafka_needs_its_package_only(spark):
         assert got.schema == IMPRESSION
 
 
+def test_print_rows(spark, landed):
+    query = continuous.print_rows(replay(spark, landed).select("publisher"),
+                                  work_dir(spark, "printed"))
+    query.awaitTermination()
+    assert query.exception() is None and sum(
+        p["numInputRows"] for p in query.recentProgress) == 10
+
+
 def test_few_files_per_batch(spark, landed):
     home = work_dir(spark, "files")
     rolled = continuous.cq_pub_geo(replay(spark, landed), "1 second", watermark="0 seconds",
