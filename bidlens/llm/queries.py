@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bidlens.llm import bpe, chat, exactdedup, simhash, tokencount
+from bidlens.llm import bpe, chat, decontaminate, exactdedup, htmltext, linededup, quality, simhash, substring, tokencount
 from bidlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +36,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op3_decontaminate")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"),
+                                  table(spark, sf_dir, "benchmark"))
+
+
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), WORD_BPE)
@@ -50,6 +57,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op6_substring_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_html_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
+@query("op8_line_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op10_chat_format", r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
            FROM conversations
