@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from bidlens.llm.common import slices, stored
 
 #: Bytes of text that a shard holds on average.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 5 << 20
 #: As many ids of trusted documents (16 MB) may be broadcast; more of them are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: The limit is the median plus ``SPREAD`` times the way from it to the upper quantile.
@@ -138,19 +138,19 @@ def probabilities(counts: DataFrame, wanted: DataFrame) -> DataFrame:
              F.shiftright("gram", BITS).bitwiseAND(F.lit(mask)).alias("b"),
              F.col("gram").bitwiseAND(F.lit(mask)).alias("c")]
     three = counts.where("n > 0").select("lang", *parts, "n")
-    two = three.groupBy("lang", "b", "c").agg(F.count(F.lit(1)).alias("n"))
-    one = two.groupBy("lang", "c").agg(F.count(F.lit(1)).alias("n"))
-    discounts = reduce(lambda x, y: x.join(y, "lang"),
-                       (_discounts(x, k) for k, x in ((3, three), (2, two), (1, one))))
-    size = one.groupBy("lang").agg((F.count(F.lit(1)) + 1).cast("double").alias("size"))
+    two = stored(three.groupBy("lang", "b", "c").agg(F.count(F.lit(1)).alias("n")), "pairs")
+    one = stored(two.groupBy("lang", "c").agg(F.count(F.lit(1)).alias("n")), "singles")
+    # Stored, the sizes of the tables are known: small ones are broadcast, others shuffled.
+    of_lang = reduce(lambda x, y: x.join(y, "lang"), [
+        *(_discounts(x, k) for k, x in ((3, three), (2, two), (1, one))), _contexts(one, [], 1),
+        one.groupBy("lang").agg((F.count(F.lit(1)) + 1).cast("double").alias("size"))])
     rows = (wanted.select("shard", "lang", "gram", *parts)
-            .join(size, "lang").join(discounts, "lang")
+            .join(stored(of_lang, "languages"), "lang")
             .join(one.withColumnRenamed("n", "n_1"), ["lang", "c"], "left")
-            .join(_contexts(one, [], 1), ["lang"], "left")
             .join(two.withColumnRenamed("n", "n_2"), ["lang", "b", "c"], "left")
-            .join(_contexts(two, ["b"], 2), ["lang", "b"], "left")
-            .join(three.withColumnRenamed("n", "n_3"), ["lang", "a", "b", "c"], "left")
-            .join(_contexts(three, ["a", "b"], 3), ["lang", "a", "b"], "left"))
+            .join(stored(_contexts(two, ["b"], 2), "contexts"), ["lang", "b"], "left")
+            .join(stored(_contexts(three, ["a", "b"], 3), "contexts"), ["lang", "a", "b"], "left")
+            .join(three.withColumnRenamed("n", "n_3"), ["lang", "a", "b", "c"], "left"))
     p: Column = 1 / F.col("size")
     for k in (1, 2, 3):
         n, total = F.col(f"n_{k}"), F.col(f"sum_{k}").cast("double")
