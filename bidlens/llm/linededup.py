@@ -26,7 +26,7 @@ MIN_TOKENS = 3
 MIN_DOCS = 10
 CONSTANT = 0.5
 FIELD = "<*>"
-_VARIABLE = re.compile(r"\S*\d\S*")
+_DIGIT = re.compile(r"\d")
 
 
 def parse(line: str) -> tuple[str, str] | None:
@@ -34,11 +34,9 @@ def parse(line: str) -> tuple[str, str] | None:
     tokens = line.split()
     if len(tokens) < MIN_TOKENS:
         return None
-    masked = " ".join(tokens)
-    if _VARIABLE.search(masked):
-        masked = _VARIABLE.sub(FIELD, masked)
-        tokens = masked.split(" ")
-    return f"{len(tokens)} {' '.join(tokens[:LEADING])}", masked
+    if _DIGIT.search(line):
+        tokens = [FIELD if _DIGIT.search(t) else t for t in tokens]
+    return f"{len(tokens)} {' '.join(tokens[:LEADING])}", " ".join(tokens)
 
 
 def lines_of(text: str) -> set[tuple[str, str]]:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from bidlens.llm.common import slices, stored
 
 #: Bytes of text that a shard holds on average.
-SHARD_BYTES = 5 << 20
+SHARD_BYTES = 8 << 20
 #: As many ids of trusted documents (16 MB) may be broadcast; more of them are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: The limit is the median plus ``SPREAD`` times the way from it to the upper quantile.
@@ -200,9 +200,12 @@ def classify(docs: DataFrame, labels: DataFrame, upper: float = UPPER,
     scores = stored(perplexities(docs, trusted), "perplexities")
     good = scores.join(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(),
                        "doc_id", "left_semi")
-    limits = good.where("log_perplexity IS NOT NULL").groupBy("lang").agg(
-        F.expr("percentile(log_perplexity, 0.5)").alias("middle"),
-        F.expr(f"percentile(log_perplexity, {float(upper)})").alias("high"))
+    # counted in steps of 0.001, so that a language's quantiles need few rows however many documents
+    steps = good.where("log_perplexity IS NOT NULL").groupBy(
+        "lang", F.round("log_perplexity", 3).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    limits = steps.groupBy("lang").agg(
+        F.expr("percentile(step, 0.5, n)").alias("middle"),
+        F.expr(f"percentile(step, {float(upper)}, n)").alias("high"))
     limits = limits.select("lang", (F.col("middle") + spread * (F.col("high") - F.col("middle")))
                            .alias("max_log_perplexity"))
     return scores.join(limits, "lang", "left").select(
