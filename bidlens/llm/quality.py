@@ -11,6 +11,7 @@ quantiles over that language's trusted documents.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 from bidlens.llm.common import slices, stored
 
 #: Bytes of text that a shard holds on average.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
+#: Characters whose n-grams are held at once.
+AT_ONCE = 1 << 20
 #: As many ids of trusted documents (16 MB) may be broadcast; more of them are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 #: The limit is the median plus ``SPREAD`` times the way from it to the upper quantile.
@@ -53,30 +56,54 @@ def _columns(table: pa.Table) -> tuple[list, list, list]:
     return tuple(table.column(c).to_pylist() for c in ("doc_id", "text", "lang"))
 
 
-def _by_language(texts: list[str], langs: list[str]):
-    """Each language with its n-grams and how often each occurs."""
+def _parts(texts: list[str], chosen: list[int]) -> Iterator[list[int]]:
+    """Runs of the chosen texts of about ``AT_ONCE`` characters, whole texts only."""
+    part, size = [], 0
+    for i in chosen:
+        part.append(i)
+        size += len(texts[i])
+        if size >= AT_ONCE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def _add(sums: dict, lang: str, gram: np.ndarray, n: np.ndarray) -> None:
+    """Adds counts of n-grams to those of a language."""
+    if lang in sums:
+        gram, at = np.unique(np.concatenate([sums[lang][0], gram]), return_inverse=True)
+        n = np.bincount(at, weights=np.concatenate([sums[lang][1], n]), minlength=len(gram)).astype(np.int64)
+    sums[lang] = gram, n
+
+
+def _by_language(texts: list[str], langs: list[str], sums: dict) -> None:
     for lang in sorted(set(langs)):
-        found, _ = grams([t for t, x in zip(texts, langs) if x == lang])
-        yield lang, *np.unique(found, return_counts=True)
+        for part in _parts(texts, [i for i, x in enumerate(langs) if x == lang]):
+            found, _ = grams([texts[i] for i in part])
+            _add(sums, lang, *np.unique(found, return_counts=True))
 
 
 def _count(batches):
-    """Per slice of trusted text: each language's n-grams with their counts."""
+    """Per task: each language's n-grams of trusted text with their counts."""
+    sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for batch in slices(batches):
-        for lang, gram, n in _by_language(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n, pa.int64())],
-                ["lang", "gram", "n"])
+        _by_language(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sums)
+    for lang, (gram, n) in sums.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n, pa.int64())],
+            ["lang", "gram", "n"])
 
 
 def _held(table: pa.Table) -> pa.Table:
     """Per shard: each language's distinct n-grams."""
     _, texts, langs = _columns(table)
-    shard = table.column("shard")[0].as_py()
+    shard, sums = table.column("shard")[0].as_py(), {}
+    _by_language(texts, langs, sums)
     return pa.concat_tables([
         pa.table({"shard": pa.array(np.full(len(gram), shard, np.int64)),
                   "lang": pa.array([lang] * len(gram), pa.string()), "gram": pa.array(gram)})
-        for lang, gram, _ in _by_language(texts, langs)])
+        for lang, (gram, _) in sums.items()])
 
 
 def _score(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -88,14 +115,15 @@ def _score(left: pa.Table, right: pa.Table) -> pa.Table:
     for lang in set(langs):
         at = np.flatnonzero(right_lang == lang)
         order = at[np.argsort(gram[at], kind="stable")]
-        mine = [i for i, x in enumerate(langs) if x == lang]
-        found, ends = grams([texts[i] for i in mine])
-        if not len(order) or not len(found):
+        if not len(order):
             continue
-        sums = np.concatenate([[0.0], np.cumsum(logp[order][np.searchsorted(gram[order], found)])])
-        for i, a, b in zip(mine, ends[:-1], ends[1:]):
-            if b > a:
-                means[i] = -float(sums[b] - sums[a]) / int(b - a)
+        for mine in _parts(texts, [i for i, x in enumerate(langs) if x == lang]):
+            found, ends = grams([texts[i] for i in mine])
+            where = np.searchsorted(gram[order], found)
+            sums = np.concatenate([[0.0], np.cumsum(logp[order][where])])
+            for i, a, b in zip(mine, ends[:-1].tolist(), ends[1:].tolist()):
+                if b > a:
+                    means[i] = -float(sums[b] - sums[a]) / (b - a)
     return pa.table({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()),
                      "log_perplexity": pa.array(means, pa.float64())})
 
