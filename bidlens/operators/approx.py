@@ -95,6 +95,7 @@ def approx_aggregate(sample: DataFrame, group_by: list[str], aggs: dict[str, tup
     z = z_score(confidence)
     columns: list[Column] = []
     limits: list[Column] = []
+    checks: list[Column] = []
     for name, (kind, *_) in aggs.items():
         value, variance = _finish(name, kind)
         bound = F.when(variance == 0, F.lit(0.0)).otherwise(
@@ -106,8 +107,10 @@ def approx_aggregate(sample: DataFrame, group_by: list[str], aggs: dict[str, tup
             if on_violation == "raise":
                 text = F.concat(F.lit(f"{ErrorBoundExceeded.__name__}: {name} has relative error "),
                                 bound.cast("string"), F.lit(f" above {error} at {confidence}"))
-                value = F.when(bound > error, F.raise_error(text).cast("double")).otherwise(value)
+                checks.append(F.when(bound > error, F.raise_error(text).cast("boolean")))
         columns += [value.alias(name), bound.alias(f"{name}_error")]
+    for check in checks:  # a filter, so that no choice of columns drops it
+        grouped = grouped.where(F.coalesce(check, F.lit(True)))
     result = grouped.select(*group_by, *columns, "sample_rows")
     if error is None or on_violation != "exact":
         return result

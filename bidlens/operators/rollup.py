@@ -57,10 +57,11 @@ def aggregate_table(impressions: DataFrame, duration: str,
 
 
 def partial_state(df: DataFrame, keys: list[str | Column]) -> DataFrame:
-    """State that can be stored and merged later: min, two sums and a sketch."""
+    """State that can be stored and merged later: min, sum and number of bids, rows and a sketch."""
     return df.groupBy(*keys).agg(
         F.min("time_stamp").alias("first_seen"),
         F.sum("bid").alias("sum_bids"),
+        F.count("bid").alias("n_bids"),
         F.count(F.lit(1)).alias("imps"),
         sketch_of("cookie").alias("cookies"))
 
@@ -70,6 +71,7 @@ def merge_partials(states: DataFrame, keys: list[str | Column]) -> DataFrame:
     return states.groupBy(*keys).agg(
         F.min("first_seen").alias("first_seen"),
         F.sum("sum_bids").alias("sum_bids"),
+        F.sum("n_bids").alias("n_bids"),
         F.sum("imps").alias("imps"),
         merged("cookies").alias("cookies"))
 
@@ -77,9 +79,9 @@ def merge_partials(states: DataFrame, keys: list[str | Column]) -> DataFrame:
 def finish_partials(states: DataFrame) -> DataFrame:
     """Readable measures of a state: average bid and estimated uniques."""
     keys = [c for c in states.columns
-            if c not in ("first_seen", "sum_bids", "imps", "cookies")]
+            if c not in ("first_seen", "sum_bids", "n_bids", "imps", "cookies")]
     return states.select(
         *keys, "first_seen",
         F.try_divide(F.col("sum_bids").cast("double"),
-                     F.col("imps").cast("double")).alias("avg_bid"),
+                     F.col("n_bids").cast("double")).alias("avg_bid"),
         "imps", estimate("cookies").alias("uniques"))

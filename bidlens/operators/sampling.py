@@ -61,15 +61,19 @@ def add_counts(old: DataFrame, new: DataFrame, qcs: tuple[str, ...]) -> DataFram
                .agg(F.sum(STRATUM_ROWS).alias(STRATUM_ROWS)))
 
 
-def thin(units: DataFrame, counts: DataFrame, spec: SampleSpec) -> DataFrame:
+def thin(units: DataFrame, counts: DataFrame, spec: SampleSpec,
+         complete: bool = False) -> DataFrame:
     """Rows with u below their stratum's present rate, with rate and weight.
 
     Rows above the greatest rate of all go before the join, which is nearly all
-    of them when every stratum is large. ``counts`` should be stored.
+    of them when every stratum is large and ``complete``. ``counts`` should be stored. A stratum that
+    is not among them is kept whole, at rate 1; say ``complete`` if there can be none.
     """
     rates = counts.select(*spec.qcs, spec.rate().alias(RATE))
-    possible = units.where(F.col(UNIT) < rates.agg(F.max(RATE)).scalar())
-    return (null_safe_join(possible, rates, list(spec.qcs)).where(F.col(UNIT) < F.col(RATE))
+    if complete:
+        units = units.where(F.col(UNIT) < rates.agg(F.max(RATE)).scalar())
+    return (null_safe_join(units, rates, list(spec.qcs), "left")
+            .withColumn(RATE, F.coalesce(RATE, F.lit(1.0))).where(F.col(UNIT) < F.col(RATE))
             .withColumn(WEIGHT, F.lit(1.0) / F.col(RATE)))
 
 
@@ -86,8 +90,9 @@ def stratified_sample(df: DataFrame, spec: SampleSpec, counts: DataFrame | None
     the rows are not shuffled at all. The minimum per stratum holds in
     expectation; see ``floor_sample`` for a hard one.
     """
+    complete = counts is None
     counts = materialize(strata_counts(df, spec.qcs) if counts is None else counts)
-    return thin(with_unit(df, spec), broadcast_within(counts, max_broadcast_rows), spec)
+    return thin(with_unit(df, spec), broadcast_within(counts, max_broadcast_rows), spec, complete)
 
 
 def floor_sample(df: DataFrame, spec: SampleSpec,
@@ -139,4 +144,5 @@ def sample_maintain(kept: DataFrame, counts: DataFrame, batch: DataFrame, spec:
     """
     new_counts = materialize(add_counts(counts, strata_counts(batch, spec.qcs), spec.qcs))
     rows = kept.drop(RATE, WEIGHT).unionByName(with_unit(batch, spec))
-    return thin(rows, broadcast_within(new_counts, max_broadcast_rows), spec), new_counts
+    return thin(rows, broadcast_within(new_counts, max_broadcast_rows), spec,
+                complete=True), new_counts

@@ -33,6 +33,8 @@ def create_column_table(spark: SparkSession, name: str, schema: T.StructType,
     key, rows are stored as they come.
     ``location`` keeps the files outside the warehouse folder.
     """
+    if buckets and not bucket_key:
+        raise ValueError("buckets need a bucket_key; Spark has no buckets without a key")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     text = f"CREATE TABLE {name} ({columns}) USING parquet"
     if partition_by:
@@ -121,19 +123,21 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
 
 
-def retain_window(spark: SparkSession, path: str, date_column: str, days: int) -> list[str]:
-    """Keep the last ``days`` dates of a date-partitioned table; returns what was dropped.
+def retain_window(spark: SparkSession, path: str, date_column: str, days: int,
+                  today: date, dry_run: bool = False) -> list[str]:
+    """Keep the ``days`` dates up to ``today`` of a date-partitioned table; returns what goes.
 
-    Works on partition folders only: no data file is read. The newest date
-    present counts as day one.
+    Works on partition folders only: no data file is read. Dates after ``today`` are an error,
+    as one wrong date must not decide what is old. ``dry_run`` only tells.
     """
     prefix = f"{date_column}="
     dates = [d[len(prefix):] for d in list_names(spark, path) if d.startswith(prefix)]
     dates = [d for d in dates if d != "__HIVE_DEFAULT_PARTITION__"]
-    if not dates:
-        return []
-    oldest_kept = date.fromisoformat(max(dates)) - timedelta(days=days - 1)
+    later = [d for d in dates if date.fromisoformat(d) > today]
+    if later:
+        raise ValueError(f"{date_column} has dates after {today}: {', '.join(later[:5])}")
+    oldest_kept = today - timedelta(days=days - 1)
     gone = [d for d in dates if date.fromisoformat(d) < oldest_kept]
-    for d in gone:
+    for d in [] if dry_run else gone:
         drop_path(spark, f"{path}/{prefix}{d}")
     return gone

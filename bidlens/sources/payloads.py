@@ -13,12 +13,13 @@ import struct
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from bidlens.sources.schemas import avro_record
 
@@ -138,21 +139,29 @@ def decode_payloads(df: DataFrame, payload_col: str, schema: T.StructType,
             if not concatenated:
                 return
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list = []
+    arrow = to_arrow_schema(out_schema)
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Carried columns are taken by row number and never leave Arrow."""
         for batch in batches:
-            kept = batch[others].itertuples(index=False, name=None) if others \
-                else ((),) * len(batch)
-            for extra, payload in zip(kept, batch[payload_col]):
-                for values, error in records(payload):
-                    rows.append((*extra, *values, error))
+            source, rows = [], []
+            for i, payload in enumerate(batch.column(len(others))):
+                for values, error in records(payload.as_py()):
+                    source.append(i)
+                    rows.append((*values, error))
                     if len(rows) >= OUT_ROWS:
-                        yield pd.DataFrame(rows, columns=out_names, dtype=object)
-                        rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=out_names, dtype=object)
+                        yield out_batch(batch, source, rows)
+                        source, rows = [], []
+            if rows:
+                yield out_batch(batch, source, rows)
+
+    def out_batch(batch: pa.RecordBatch, source: list, rows: list) -> pa.RecordBatch:
+        at = pa.array(source, pa.int64())
+        carried = [batch.column(i).take(at) for i in range(len(others))]
+        fields = [pa.array(c, arrow.field(len(others) + i).type) for i, c in enumerate(zip(*rows))]
+        return pa.RecordBatch.from_arrays([*carried, *fields], out_names)
 
-    return df.select(*others, payload_col).mapInPandas(decode, out_schema)
+    return df.select(*others, payload_col).mapInArrow(decode, out_schema)
 
 
 def split_rejects(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -161,8 +170,8 @@ def split_rejects(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, decoded.where(F.col("decode_error").isNotNull())
 
 
-def to_impressions(messages: DataFrame) -> DataFrame:
+def to_impressions(messages: DataFrame, *others: str) -> DataFrame:
     """Project decoded messages to impression rows: milliseconds become a timestamp."""
     return messages.select(
         F.timestamp_millis("timestamp").alias("time_stamp"),
-        "publisher", "advertiser", "website", "geo", "bid", "cookie")
+        "publisher", "advertiser", "website", "geo", "bid", "cookie", *others)

@@ -30,7 +30,8 @@ def kafka_options(brokers: str, topics: str, starting: str = "latest",
 
 def read_impressions(spark: SparkSession, source: str | dict[str, str], format: str = "landed",
                      starting: str = "latest", max_per_trigger: int | None = None,
-                     schema: T.StructType = IMPRESSION, concatenated: bool = False) -> DataFrame:
+                     schema: T.StructType = IMPRESSION, concatenated: bool = False,
+                     rejects: str = "fail") -> DataFrame:
     """A stream of impression rows.
 
     ``format``
@@ -40,8 +41,12 @@ def read_impressions(spark: SparkSession, source: str | dict[str, str], format:
         ``payload`` column, as a queue's sink connector writes them.
       * ``segments``: ``source`` is a folder of raw files of records back to back.
       * ``parquet``, ``orc``, ``json``: files that already hold impression rows.
-    Unreadable payloads are left out here; use ``decode_payloads`` to keep them.
+    ``rejects`` says what becomes of unreadable payloads: ``fail`` stops the stream at the first,
+    ``keep`` returns a row with ``decode_error`` for each, and that column null for others, so
+    that ``split_rejects`` can send them elsewhere, and ``drop`` leaves them out.
     """
+    if rejects not in ("fail", "keep", "drop"):
+        raise ValueError(f"rejects must be fail, keep or drop, not {rejects}")
     if format == "kafka":
         options = dict(source)
         raw = (spark.readStream.format("kafka")
@@ -63,7 +68,13 @@ def read_impressions(spark: SparkSession, source: str | dict[str, str], format:
         else:
             return reader.format(format).schema(schema).load(source)
     decoded = decode_payloads(messages, "payload", IMPRESSION_MESSAGE, concatenated)
+    if rejects == "keep":
+        return to_impressions(decoded, "decode_error")
     good, _ = split_rejects(decoded)
+    if rejects == "fail":
+        text = F.concat(F.lit("unreadable payload: "), F.col("decode_error"))
+        good = decoded.where(F.when(F.col("decode_error").isNotNull(), F.raise_error(text)
+                                    .cast("boolean")).otherwise(F.lit(True)))
     return to_impressions(good)
 
 

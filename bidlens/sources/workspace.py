@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,9 +22,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root:
         return root
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="bidlens-"))
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="bidlens-")
+    return _local_roots[context.applicationId]
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

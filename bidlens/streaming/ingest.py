@@ -91,7 +91,7 @@ def write_batch_with_sample(batch: DataFrame, batch_id: int, root: str, spec: Sa
         counts.write.mode("overwrite").parquet(_slot(root, "totals", batch_id))
         # Rates only fall later on, so these rows include all that stay.
         rates = broadcast_within(_totals(spark, root, batch_id))
-        rows = thin(with_unit(batch, spec), rates, spec).select(*batch.columns, UNIT)
+        rows = thin(with_unit(batch, spec), rates, spec, complete=True).select(*batch.columns, UNIT)
         rows.write.mode("overwrite").parquet(_slot(root, "sample", batch_id))
         put_marker(spark, _slot(root, "commits", batch_id))
     finally:
@@ -147,7 +147,7 @@ def merge_batches(spark: SparkSession, root: str, spec: SampleSpec) -> int:
     base.hint("rebalance").write.mode("overwrite").parquet(f"{root}/base_merged/upto={upto}")
     sample = _batches(spark, root, "sample", merged, upto)
     columns = sample.columns
-    sample = thin(sample, broadcast_within(_totals(spark, root, last)), spec).select(*columns)
+    sample = thin(sample, broadcast_within(_totals(spark, root, last)), spec, complete=True).select(*columns)
     sample.hint("rebalance").write.mode("overwrite").parquet(f"{root}/sample_merged/upto={upto}")
     put_marker(spark, f"{root}/merges/upto={upto}")
     for part in ("base", "sample", "totals", "commits"):
@@ -167,4 +167,4 @@ def read_sample(spark: SparkSession, root: str, spec: SampleSpec,
     """The sample at the present rates, equal to sampling all base rows anew."""
     totals = _totals(spark, root, last_batch(spark, root))
     return thin(_committed(spark, root, "sample"),
-                broadcast_within(totals, max_broadcast_rows), spec)
+                broadcast_within(totals, max_broadcast_rows), spec, complete=True)

@@ -199,7 +199,7 @@ def ch_oracles() -> dict[str, str]:
         f"""SELECT cast(100 * sum(CASE WHEN i_data LIKE 'PR%' THEN ol_amount ELSE 0 END) AS double)
                / cast(1 + sum(ol_amount) AS double) AS promo_revenue
         FROM {ol} JOIN {it} ON ol_i_id = i_id
-        WHERE ol_delivery_d >= TIMESTAMP '{DAY}'""", ol, it)
+        WHERE ol_delivery_d >= TIMESTAMP '{DAY}' AND ol_delivery_d < TIMESTAMP '2020-01-02 00:00:00'""", ol, it)
     q["ch_15_supplier_revenue"] = with_views(
         f"""SELECT {SKEY} AS supplier_no, {_sum('ol_amount')} AS total_revenue
         FROM {ol} JOIN {st} ON ol_i_id = s_i_id AND ol_supply_w_id = s_w_id
@@ -258,11 +258,13 @@ def ch_oracles() -> dict[str, str]:
     rich = f"""SELECT substr(c_state, 1, 1) AS country, count(*) AS numcust,
                {_sum('c_balance')} AS totacctbal
         FROM {c} LEFT JOIN {o} ON {CUST_OF_ORDER}
-             AND o_carrier_id > 4 AND o_entry_d >= TIMESTAMP '2000-01-01'
         WHERE {digits} AND cast(c_balance AS double) > ({mean}) AND o_id IS NULL
         GROUP BY substr(c_state, 1, 1)"""
     q["ch_22_rich_without_orders"] = with_views(rich, c, o)
     q["ch_22_parameter_form"] = q["ch_22_rich_without_orders"]
+    q["ch_22_with_new_customers"] = with_views(rich.replace(
+        f"FROM {c} LEFT", f"FROM (SELECT * FROM {c} UNION ALL SELECT * REPLACE (c_id + 100000000 AS c_id) "
+        f"FROM {c}) LEFT"), c, o)
     q["ch_22_mean_balance"] = with_views(
         mean.replace("count(*) FROM", "count(*) AS mean_balance FROM"), c)
     return q

@@ -1,3 +1,5 @@
+from datetime import date
+
 import datetime as dt
 import glob
 import os
@@ -112,10 +114,15 @@ def test_retain_window_drops_old_days(spark, folder):
     days = ["2024-02-27", "2024-02-28", "2024-03-01", "2024-03-02"]
     spark.createDataFrame([(d, 1) for d in days], "day string, v int").withColumn(
         "day", F.to_date("day")).write.partitionBy("day").parquet(folder)
-    assert storage.retain_window(spark, folder, "day", 3) == ["2024-02-27", "2024-02-28"]
+    today = date(2024, 3, 2)
+    with pytest.raises(ValueError):
+        storage.retain_window(spark, folder, "day", 3, date(2024, 3, 1))
+    for dry in (True, False):
+        assert storage.retain_window(spark, folder, "day", 3, today, dry) == [
+            "2024-02-27", "2024-02-28"]
     assert spark.read.parquet(folder).count() == 2
-    assert storage.retain_window(spark, folder, "day", 3) == []
-    assert storage.retain_window(spark, folder + "-none", "day", 1) == []
+    assert storage.retain_window(spark, folder, "day", 3, today) == []
+    assert storage.retain_window(spark, folder + "-none", "day", 1, today) == []
 
 
 def test_malformed_csv_fails(spark, folder):
@@ -151,3 +158,9 @@ def test_partials_merge_in_any_grouping(spark, data):
     assert rows(finish_partials(merge_partials(right, keys))) == whole
     hourly = partial_state(seen, [window_of("1 hour"), *keys])
     assert rows(finish_partials(merge_partials(hourly, keys))) == whole
+
+
+def test_buckets_need_a_key(spark):
+    schema = spark.createDataFrame([], "id long").schema
+    with pytest.raises(ValueError):
+        storage.create_column_table(spark, "keyless", schema, buckets=3)
