@@ -80,3 +80,9 @@ def test_raw_segment_files(spark, folder, data):
     want = to_impressions(split_rejects(decode_payloads(
         payloads(data.impressions), "payload", IMPRESSION_MESSAGE))[0])
     assert rows(spark.table("segments")) == rows(want)
+
+
+def test_carried_nullable_ids_stay_exact(spark):
+    ids = [2 ** 53 + 1, None, -2 ** 63]
+    df = spark.createDataFrame([(i, encode_record(*GOOD[0])) for i in ids], "id long, payload binary")
+    assert [r.id for r in decode_payloads(df, "payload", IMPRESSION_MESSAGE).collect()] == ids

@@ -151,3 +151,20 @@ def test_exact_counts_from_strata(spark):
     df = make(spark).withColumn("h", F.col("id") % 3)
     got = approx.count_from_strata(strata_counts(df, ("g", "h")), ["g"])
     assert rows(got) == rows(df.groupBy("g").count())
+
+
+def test_strata_missing_from_counts_are_kept_whole(spark):
+    spec = sampling.SampleSpec(("g",), 0.1, 0, ("id",))
+    df = spark.range(400).selectExpr("id", "CASE WHEN id < 300 THEN 'a' END AS g")
+    counts = sampling.strata_counts(df.where("g = 'a'"), spec.qcs)
+    got = sampling.stratified_sample(df, spec, counts)
+    assert got.where("g IS NULL").count() == 100 and got.where("g = 'a'").count() < 100
+
+
+def test_violation_raises_whatever_is_read(spark):
+    sample = spark.createDataFrame([("x", 1.0, 0.5), ("x", 9.0, 0.5)], "g string, v double, rate double")
+    sample = sample.withColumnRenamed("rate", sampling.RATE).withColumn(sampling.WEIGHT, F.lit(2.0))
+    limited = approx.approx_aggregate(sample, ["g"], {"n": ("count",)}, 0.0001)
+    for read in (limited.count, limited.select("g").collect, limited.select("n_error").collect):
+        with pytest.raises(Exception, match="ErrorBoundExceeded"):
+            read()
