@@ -20,6 +20,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bidlens.operators.sizing import broadcast_within
 from bidlens.sources.workspace import drop_path, make_dir, path_exists, put_marker
@@ -37,13 +38,34 @@ def chosen(names: list[str], include: str = ".*", exclude: str = "") -> list[str
     return sorted(n for n in names if take.fullmatch(n) and not leave.fullmatch(n))
 
 
+def _value_hash(value: Column, kind: T.DataType, seed: int) -> Column:
+    """64 bits of a value that tell nulls and their places apart at every level; the order of
+    a map's entries does not count."""
+    if isinstance(kind, T.ArrayType):
+        parts = [F.transform(value, lambda x: _value_hash(x, kind.elementType, seed))]
+    elif isinstance(kind, T.MapType):
+        parts = [F.array_sort(F.transform(F.map_entries(value), lambda e: F.xxhash64(
+            _value_hash(e["key"], kind.keyType, seed), _value_hash(e["value"], kind.valueType, seed))))]
+    elif isinstance(kind, T.StructType):
+        parts = [_value_hash(value.getField(f.name), f.dataType, seed) for f in kind.fields]
+    else:
+        parts = [value]
+    return F.xxhash64(F.lit(seed), value.isNull(), *parts)
+
+
 def _row_hashes(df: DataFrame) -> list[Column]:
     """128 bits over all columns; a null differs from every value."""
-    parts: list[Column] = []
-    for name in sorted(df.columns):
-        parts += [F.col(f"`{name}`"), F.col(f"`{name}`").isNull()]
-    return [F.xxhash64(F.lit(1), *parts).alias(_HASHES[0]),
-            F.xxhash64(F.lit(2), *parts).alias(_HASHES[1])]
+    def of(seed: int) -> Column:
+        parts: list[Column] = []
+        for f in sorted(df.schema.fields, key=lambda f: f.name):
+            value = F.col(f"`{f.name}`")
+            if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+                parts.append(_value_hash(value, f.dataType, seed))
+            else:
+                parts += [value, value.isNull()]
+        return F.xxhash64(F.lit(seed), *parts)
+
+    return [of(seed).alias(name) for seed, name in enumerate(_HASHES, 1)]
 
 
 def _hash_counts(df: DataFrame, copies: Column) -> DataFrame:
@@ -144,7 +166,8 @@ def snapshot_tables(spark: SparkSession, target: str, include: str = ".*", exclu
 
     ``tables`` defaults to all tables and views of the current database. The
     folder is named after the time (UTC) and must not exist. With a complete
-    ``baseline`` folder, only changed rows are stored. Statuses: ``full``,
+    ``baseline`` folder, only changed rows are stored; a table whose columns or types
+    are not those of the baseline is stored in full. Statuses: ``full``,
     ``incremental``, ``unchanged``, ``empty``; tables of the baseline that are now
     gone are listed as ``missing``. ``parallel`` tables are written at a time, each
     by a Spark job of its own.
@@ -169,11 +192,15 @@ def snapshot_tables(spark: SparkSession, target: str, include: str = ".*", exclu
     ).write.parquet(f"{folder}/{CATALOG}")
 
     known: dict[str, str] = {}
+    shapes: dict[str, set] = {}
     if baseline is not None:
         known = {r.table: r.status for r in _manifest(spark, baseline).collect()}
+        for r in spark.read.parquet(f"{baseline}/{CATALOG}").collect():
+            shapes.setdefault(r.table, set()).add((r.position, r.column, r.type))
 
     def store(name: str) -> tuple:
-        if known.get(name, "missing") in ("missing", "empty"):
+        shape = {(i, c, t) for n, i, c, t, _ in columns if n == name}
+        if known.get(name, "missing") in ("missing", "empty") or shapes.get(name) != shape:
             return _store_full(spark, folder, name, tables[name])
         return _store_changes(spark, folder, name, tables[name], baseline)
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from bidlens.functions import null_safe_join
 from bidlens.operators.sizing import broadcast_within
 from bidlens.sources.tables import target_columns
-from bidlens.sources.workspace import drop_path, list_names, materialize, path_exists
+from bidlens.sources.workspace import drop_path, list_names, materialize, path_exists, scratch
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -86,7 +86,7 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
 
 
 def upsert_latest(target: DataFrame, updates: DataFrame, keys: list[str],
-                  order_cols: list[str]) -> DataFrame:
+                  order_cols: list[str], touched: DataFrame | None = None) -> DataFrame:
     """The target after an upsert: per key the row with the greatest version.
 
     End ``order_cols`` with enough columns to make the order total, then the
@@ -94,10 +94,14 @@ def upsert_latest(target: DataFrame, updates: DataFrame, keys: list[str],
     nothing. Target rows whose key is not updated pass through a plain anti
     join and are never sorted; only contested rows enter the ranking. The updated
     keys are stored and counted first, and broadcast if they are few, in which case
-    the target is not shuffled. The target must hold one row per key already.
+    the target is not shuffled. The target must hold one row per key already. A caller who
+    has stored the distinct updated keys passes them as ``touched``; otherwise they
+    are checkpointed and stay in the checkpoint folder.
     """
     updates = updates.select(*target.columns)
-    touched = broadcast_within(materialize(updates.select(*keys).distinct()))
+    if touched is None:
+        touched = materialize(updates.select(*keys).distinct())
+    touched = broadcast_within(touched)
     contested = null_safe_join(target, touched, keys, "left_semi")
     untouched = null_safe_join(target, touched, keys, "left_anti")
     winners = latest_per_key(contested.unionByName(updates), keys, order_cols)
@@ -110,17 +114,23 @@ def upsert_partitioned(spark: SparkSession, path: str, updates: DataFrame, keys:
 
     The partition column must be a function of the key. Other partitions are
     pruned at run time and their files stay as they are. A missing table is created.
+    The updated keys are stored for the time of the call only.
     """
     if not path_exists(spark, path):
         first = latest_per_key(updates, keys, order_cols)
         first.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
         return
     stored = spark.read.schema(updates.schema).parquet(path)
-    touched = broadcast_within(materialize(updates.select(partition_by).distinct()))
-    target = null_safe_join(stored, touched, [partition_by], "left_semi")
-    merged = upsert_latest(target, updates, keys, order_cols)
-    (merged.hint("rebalance", partition_by).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+    updates = updates.select(*stored.columns)
+    with scratch(spark, "upsert") as home:
+        updates.select(*keys).distinct().write.parquet(f"{home}/keys")
+        updates.select(partition_by).distinct().write.parquet(f"{home}/parts")
+        parts = broadcast_within(spark.read.parquet(f"{home}/parts"))
+        target = null_safe_join(stored, parts, [partition_by], "left_semi")
+        merged = upsert_latest(target, updates, keys, order_cols,
+                               spark.read.parquet(f"{home}/keys"))
+        (merged.hint("rebalance", partition_by).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
 
 
 def retain_window(spark: SparkSession, path: str, date_column: str, days: int,

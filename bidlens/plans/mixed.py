@@ -119,6 +119,18 @@ def _with_stock(lines: DataFrame, stock: DataFrame, warehouse: str) -> DataFrame
                       & (F.col("ol_i_id") == F.col("s_i_id")))
 
 
+def _sums_in_stock(lines: DataFrame, stock: DataFrame, warehouse: str, keys: list[Column],
+                   **measures: Column) -> DataFrame:
+    """Measures of lines in stock, as parts that the report sums up by its keys.
+
+    Lines are first summed by the keys, warehouse and item, so that a hot item brings a few
+    rows per task to the join instead of all its lines.
+    """
+    summed = lines.groupBy(*keys, warehouse, "ol_i_id").agg(
+        *[c.alias(name) for name, c in measures.items()])
+    return _with_stock(summed, stock, warehouse)
+
+
 def pricing_summary(t: MixedTables, delivered_after: str = START) -> DataFrame:
     return (t.order_line.where(_after("ol_delivery_d", delivered_after))
             .groupBy("ol_number").agg(
@@ -201,8 +213,8 @@ def regional_revenue(t: MixedTables, region: str = "Europe",
                                 t.line_supplier("ol_w_id").alias("ol_suppkey"))
     sold = (lines.join(suppliers, F.col("ol_suppkey") == F.col("su_suppkey"))
             .join(orders, _equal(ORDER_KEY) & (F.col("c_nation") == F.col("su_nationkey"))))
-    return (_with_stock(sold, t.stock, "ol_w_id").groupBy("n_name")
-            .agg(F.sum("ol_amount").alias("revenue")).orderBy(F.desc("revenue"), "n_name"))
+    return (_sums_in_stock(sold, t.stock, "ol_w_id", [F.col("n_name")], amount=F.sum("ol_amount"))
+            .groupBy("n_name").agg(F.sum("amount").alias("revenue")).orderBy(F.desc("revenue"), "n_name"))
 
 
 def period_revenue(t: MixedTables, since: str = LINES_FROM, before: str = OPEN_END,
@@ -234,8 +246,8 @@ def nation_pair_revenue(t: MixedTables, first: str = "Germany",
             .join(orders, _equal(ORDER_KEY) & crossed))
     keys = [F.col("su_nationkey").alias("supp_nation"), F.col("c_nation").alias("cust_nation"),
             F.year("o_entry_d").alias("l_year")]
-    return (_with_stock(sold, t.stock, "ol_supply_w_id").groupBy(*keys)
-            .agg(F.sum("ol_amount").alias("revenue"))
+    return (_sums_in_stock(sold, t.stock, "ol_supply_w_id", keys, amount=F.sum("ol_amount"))
+            .groupBy("supp_nation", "cust_nation", "l_year").agg(F.sum("amount").alias("revenue"))
             .orderBy("supp_nation", "cust_nation", "l_year"))
 
 
@@ -259,9 +271,10 @@ def market_share(t: MixedTables, nation: str = "Germany", region: str = "Europe"
              .join(suppliers, F.col("ol_suppkey") == F.col("su_suppkey"))
              .join(orders, _equal(ORDER_KEY)))
     mine = F.sum(F.when(F.col("n_name") == nation, F.col("ol_amount")).otherwise(F.lit(0)))
-    return (_with_stock(lines, t.stock, "ol_supply_w_id")
-            .groupBy(F.year("o_entry_d").alias("l_year"))
-            .agg(safe_ratio(mine, F.sum("ol_amount")).alias("mkt_share")).orderBy("l_year"))
+    return (_sums_in_stock(lines, t.stock, "ol_supply_w_id", [F.year("o_entry_d").alias("l_year")],
+                           mine=mine, amount=F.sum("ol_amount"))
+            .groupBy("l_year")
+            .agg(safe_ratio(F.sum("mine"), F.sum("amount")).alias("mkt_share")).orderBy("l_year"))
 
 
 def product_profit(t: MixedTables, item_suffix: str = "bb") -> DataFrame:
@@ -274,9 +287,10 @@ def product_profit(t: MixedTables, item_suffix: str = "bb") -> DataFrame:
              .join(items, F.col("ol_i_id") == F.col("i_id"))
              .join(suppliers, F.col("ol_suppkey") == F.col("su_suppkey")))
     orders = t.orders.select("o_id", "o_w_id", "o_d_id", "o_entry_d")
-    return (_with_stock(lines, t.stock, "ol_supply_w_id").join(orders, _equal(ORDER_KEY))
-            .groupBy("n_name", F.year("o_entry_d").alias("l_year"))
-            .agg(F.sum("ol_amount").alias("sum_profit"))
+    return (_sums_in_stock(lines.join(orders, _equal(ORDER_KEY)), t.stock, "ol_supply_w_id",
+                           [F.col("n_name"), F.year("o_entry_d").alias("l_year")],
+                           amount=F.sum("ol_amount"))
+            .groupBy("n_name", "l_year").agg(F.sum("amount").alias("sum_profit"))
             .orderBy("n_name", F.desc("l_year")))
 
 
@@ -492,8 +506,8 @@ def waiting_suppliers(t: MixedTables, nation: str = "Germany") -> DataFrame:
     orders = t.orders.select("o_id", "o_w_id", "o_d_id", "o_entry_d")
     waited = last.join(orders, _equal(ORDER_KEY)
                        & (F.col("ol_delivery_d") > F.col("o_entry_d")))
-    return (_with_stock(waited, t.stock, "ol_w_id").groupBy("su_name")
-            .agg(F.count(F.lit(1)).alias("numwait"))
+    return (_sums_in_stock(waited, t.stock, "ol_w_id", [F.col("su_name")], n=F.count(F.lit(1)))
+            .groupBy("su_name").agg(F.sum("n").alias("numwait"))
             .orderBy(F.desc("numwait"), "su_name"))
 
 

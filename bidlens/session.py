@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Settings for a cluster. Shuffle partitions are left to adaptive execution,
@@ -27,6 +30,22 @@ RECOMMENDED = {
 }
 
 
+@contextmanager
+def in_pool(spark: SparkSession, pool: str) -> Iterator[None]:
+    """Jobs and streams started by this thread inside belong to a scheduler pool.
+
+    With ``spark.scheduler.mode`` FAIR, pools share the executors evenly, so reports make
+    progress beside a stream; jobs of one pool go in turn.
+    """
+    context, key = spark.sparkContext, "spark.scheduler.pool"
+    before = context.getLocalProperty(key)
+    context.setLocalProperty(key, pool)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(key, before)
+
+
 def build_session(app_name: str = "bidlens", master: str | None = None,
                   **overrides: str) -> SparkSession:
     """Session with the recommended settings; ``overrides`` use ``_`` for ``.``.

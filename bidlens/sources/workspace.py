@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +36,16 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A new shared folder path whose content is deleted at the end of the block."""
+    home = work_dir(spark, label)
+    try:
+        yield home
+    finally:
+        drop_path(spark, home)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute once, write to the checkpoint folder and forget the lineage."""
     spark = df.sparkSession

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bidlens.functions import estimate, mean_of, sketch_of
 from bidlens.operators.rollup import PUB_GEO, flat_window, resolved, window_of
+from bidlens.session import RECOMMENDED
 from bidlens.sources.schemas import UNKNOWN_GEO
 
 
@@ -23,7 +24,9 @@ def state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
     """Number of state partitions for queries started inside.
 
     A stateful query keeps the count of its first start for ever, so choose it
-    for the load to come: about one to three per executor core.
+    for the load to come: about one to three per executor core. It is a setting of the session
+    while the query starts; where reports share the session, build the stream in one of
+    its own with ``stream_session``.
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
@@ -35,6 +38,20 @@ def state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session for streams, with its own settings and views in the same application.
+
+    Its number of state partitions does not reach reports planned in ``spark``.
+    """
+    own = spark.newSession()
+    for key, value in RECOMMENDED.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, spark.conf.get(key, value))
+    if partitions is not None:
+        own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return own
+
+
 def cq_pub_geo(df: DataFrame, duration: str = "1 second", slide: str | None = None,
                watermark: str | None = None, unknown: str = UNKNOWN_GEO,
                by_timestamp: bool = False, uniques: str = "exact") -> DataFrame:

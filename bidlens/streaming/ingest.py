@@ -121,8 +121,9 @@ def _batches(spark: SparkSession, root: str, part: str, after: int, upto: int) -
     return rows.where((F.col(BATCH) > after) & (F.col(BATCH) <= upto)).drop(BATCH)
 
 
-def _committed(spark: SparkSession, root: str, part: str) -> DataFrame:
-    last, merged = last_batch(spark, root), last_merged(spark, root)
+def _committed(spark: SparkSession, root: str, part: str, last: int) -> DataFrame:
+    """Rows of the batches up to ``last``, which the caller looks up once."""
+    merged = last_merged(spark, root)
     if last < 0:
         raise ValueError(f"no committed batch below {root}")
     rows = _batches(spark, root, part, merged, last)
@@ -159,12 +160,13 @@ def merge_batches(spark: SparkSession, root: str, spec: SampleSpec) -> int:
 
 def read_base(spark: SparkSession, root: str) -> DataFrame:
     """All committed base rows."""
-    return _committed(spark, root, "base")
+    return _committed(spark, root, "base", last_batch(spark, root))
 
 
 def read_sample(spark: SparkSession, root: str, spec: SampleSpec,
                 max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """The sample at the present rates, equal to sampling all base rows anew."""
-    totals = _totals(spark, root, last_batch(spark, root))
-    return thin(_committed(spark, root, "sample"),
-                broadcast_within(totals, max_broadcast_rows), spec, complete=True)
+    last = last_batch(spark, root)
+    rows = _committed(spark, root, "sample", last)
+    totals = broadcast_within(_totals(spark, root, last), max_broadcast_rows)
+    return thin(rows, totals, spec, complete=True)

@@ -123,8 +123,8 @@ def _cq_hll(d: Data) -> DataFrame:
 # --- streams -----------------------------------------------------------------
 
 def _event_stream(d: Data) -> DataFrame:
-    """Impressions as a stream that replays the stored events."""
-    raw = streams.replay_stream(d.spark, d.sf_dir, d["events"].schema, glob="events.parquet")
+    """Impressions as a stream that replays the events in order of time, one file per trigger."""
+    raw = streams.replay_stream(d.spark, d.event_files(), d["events"].schema, files_per_trigger=1)
     return _zoned(d.spark.sql(VIEWS["impressions"], events=raw))
 
 
@@ -601,8 +601,10 @@ register("clk_1_top_items")(
 register("clk_2_districts")(lambda d: clicks.click_districts(d["clicks"], "1 day"))
 
 
-def _click_stream(d: Data) -> DataFrame:
-    raw = streams.replay_stream(d.spark, d.sf_dir, d["events"].schema, glob="events.parquet")
+def _click_stream(d: Data, one_batch: bool = False) -> DataFrame:
+    raw = (streams.replay_stream(d.spark, d.sf_dir, d["events"].schema, glob="events.parquet")
+           if one_batch else
+           streams.replay_stream(d.spark, d.event_files(), d["events"].schema, files_per_trigger=1))
     rows = d.spark.sql(VIEWS["clicks"], events=raw, part=d["part"])
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLICK.fields])
 
@@ -626,7 +628,7 @@ def _clk2_stream(d: Data) -> DataFrame:
 
 def _click_reports(d: Data, part: str) -> DataFrame:
     home = work_dir(d.spark, "click-reports")
-    clicks.click_reports(_click_stream(d), d["ch_item"], f"{home}/out", f"{home}/checkpoint",
+    clicks.click_reports(_click_stream(d, one_batch=True), d["ch_item"], f"{home}/out", f"{home}/checkpoint",
                          min_price=950, k=10).awaitTermination()
     return d.spark.read.parquet(f"{home}/out/{part}").drop("batch_id")
 

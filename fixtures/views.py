@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from bidlens.plans.mixed import TABLE_NAMES, MixedTables
+from bidlens.sources.workspace import work_dir
 
 RAW = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -137,6 +138,7 @@ class Data:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._frames: dict[str, DataFrame] = {}
+        self._event_files = ""
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -152,6 +154,20 @@ class Data:
     def impressions(self) -> DataFrame:
         return self["impressions"]
 
+    def event_files(self, parts: int = 5) -> str:
+        """The events stored as files in order of time, to be replayed one per trigger."""
+        if not self._event_files:
+            path, events = work_dir(self.spark, "event-files"), self["events"]
+            cuts = events.select(F.unix_micros(F.col("ts").cast("timestamp")).alias("t")).agg(
+                F.expr("percentile_approx(t, array({}), 10000)".format(
+                    ", ".join(str(i / parts) for i in range(1, parts))))).first()[0] or []
+            at = F.unix_micros(F.col("ts").cast("timestamp"))
+            part = sum(((at >= c).cast("int") for c in sorted(set(cuts))), F.lit(0))
+            for n in range(len(set(cuts)) + 1):  # one after another: files are replayed by age
+                events.where(part == n).coalesce(1).write.mode("append").parquet(path)
+            self._event_files = path
+        return self._event_files
+
     def mixed(self, check_dimensions: bool = False) -> MixedTables:
         return GivenTables(self, check_dimensions)
 

@@ -101,3 +101,42 @@ def test_hashes_tell_columns_and_nulls_apart(spark):
                                "x string, y string")
     hashed = df.select(*snapshot._row_hashes(df))
     assert hashed.distinct().count() == 5
+
+
+NESTED = "id int, a array<int>, m map<string,array<int>>, s struct<x:int,y:string>"
+
+
+def test_nested_changes_are_seen(spark, folder):
+    old = spark.createDataFrame([(1, [1, None], {"k": [1], "l": None}, (1, None)),
+                                 (2, [], None, None), (3, None, {}, (None, None))], NESTED)
+    new = spark.createDataFrame([(1, [None, 1], {"l": None, "k": [1]}, (1, None)),
+                                 (2, None, None, (None, None)), (3, None, {}, (None, None))], NESTED)
+    one, _, _ = take(spark, folder, 1, {"t": old})
+    same, statuses, _ = take(spark, folder, 2, {"t": old}, one)
+    assert statuses == {"t": "unchanged"}
+    two, statuses, manifest = take(spark, folder, 3, {"t": new}, same)
+    assert statuses == {"t": "incremental"} and rows(manifest, "rows") == [(2,)]
+    assert rows(snapshot.restore_table(spark, two, "t")) == rows(new)
+    assert rows(snapshot.restore_table(spark, same, "t")) == rows(old)
+
+
+def test_order_of_map_entries_does_not_count(spark, folder):
+    one = spark.sql("SELECT map('a', 1, 'b', 2) AS m")
+    where, _, _ = take(spark, folder, 1, {"t": one})
+    _, statuses, _ = take(spark, folder, 2, {"t": spark.sql("SELECT map('b', 2, 'a', 1) AS m")}, where)
+    assert statuses == {"t": "unchanged"}
+
+
+@pytest.mark.parametrize("change", [
+    lambda t: t.withColumn("more", F.lit(1)), lambda t: t.drop("name"),
+    lambda t: t.withColumn("id", F.col("id").cast("string"))])
+def test_changed_columns_are_stored_in_full(spark, folder, change):
+    one, _, _ = take(spark, folder, 1, {"t": table(spark, A)})
+    new = change(table(spark, B))
+    two, statuses, _ = take(spark, folder, 2, {"t": new}, one)
+    assert statuses == {"t": "full"}
+    got = snapshot.restore_table(spark, two, "t")
+    assert rows(got) == rows(new) and got.columns == new.columns
+    three, statuses, _ = take(spark, folder, 3, {"t": new.limit(2)}, two)
+    assert statuses == {"t": "incremental"}
+    assert snapshot.restore_table(spark, three, "t").count() == 2

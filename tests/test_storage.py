@@ -54,7 +54,10 @@ def test_upsert_rewrites_touched_partitions_only(spark, folder):
     before = {p: sorted(glob.glob(f"{local}/p={p}/*.parquet")) for p in (0, 1, 2)}
     updates = versions(spark, [(11, "a", 2, "y"), (31, "a", 1, "new")]).withColumn(
         "p", (F.col("k") / 10).cast("int"))
+    root = os.path.dirname(local)
+    others = sorted(os.listdir(root))
     storage.upsert_partitioned(spark, folder, updates, KEYS, ORDER, "p")
+    assert sorted(os.listdir(root)) == others  # nothing is left behind
     got = spark.read.parquet(folder)
     assert rows(got, "k", "v", "note") == [(1, 1, "x"), (11, 2, "y"), (21, 1, "x"),
                                            (31, 1, "new")]

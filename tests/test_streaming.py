@@ -10,6 +10,7 @@ from bidlens.sources import streams
 from bidlens.sources.schemas import CLICK, IMPRESSION
 from bidlens.sources.workspace import path_exists, work_dir
 from bidlens.streaming import continuous, ingest
+from bidlens.session import in_pool
 from conftest import rows
 
 T0 = dt.datetime(2024, 1, 1)
@@ -247,3 +248,17 @@ def test_click_reports(spark, folder):
     clicks.click_reports(stream, item, f"{home}/out", f"{home}/c", k=2).awaitTermination()
     assert rows(spark.read.parquet(f"{home}/out/items"), "i_id", "clicks") == [(5, 2), (7, 1)]
     assert spark.read.parquet(f"{home}/out/districts").count() == 2
+
+
+def test_a_stream_session_keeps_its_settings(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    own = continuous.stream_session(spark, 3)
+    assert own.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert own.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_a_pool_lasts_for_the_block(spark):
+    with in_pool(spark, "streams"):
+        assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == "streams"
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
