@@ -7,6 +7,14 @@ where each document's perplexity is read off. So the model is never in one place
 text moves once. A document
 is rejected if its log perplexity exceeds a limit of its language, which is set by two
 quantiles over that language's trusted documents.
+
+Text that a model was trained on is likelier to it than any other, so the limits come from
+held-out perplexities: trusted documents are dealt into ``FOLDS`` folds by their text, and each is
+scored by a model of the other folds as well. A language with fewer than ``MIN_TRUSTED`` different
+trusted texts so scored has no limit, and all its documents are kept.
+
+Models go by the name of their language behind one character: ``ALL`` for the model of all
+folds, the number of a fold for the model without it.
 """
 
 from __future__ import annotations
@@ -29,6 +37,9 @@ AT_ONCE = 1 << 20
 BROADCAST_IDS = 2_000_000
 #: The limit is the median plus ``SPREAD`` times the way from it to the upper quantile.
 UPPER, SPREAD = 0.95, 3.0
+#: Folds of trusted documents (one digit), and how many different held-out texts set a limit.
+FOLDS, MIN_TRUSTED = 5, 10
+ALL = "*"
 #: Two starts of text precede each document; a code point has 21 bits.
 START, BITS = 0, 21
 
@@ -52,8 +63,8 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return a << (2 * BITS) | b << BITS | c, ends
 
 
-def _columns(table: pa.Table) -> tuple[list, list, list]:
-    return tuple(table.column(c).to_pylist() for c in ("doc_id", "text", "lang"))
+def _columns(table: pa.Table) -> tuple[list, ...]:
+    return tuple(table.column(c).to_pylist() for c in ("doc_id", "text", "lang", "fold"))
 
 
 def _parts(texts: list[str], chosen: list[int]) -> Iterator[list[int]]:
@@ -85,7 +96,7 @@ def _by_language(texts: list[str], langs: list[str], sums: dict) -> None:
 
 
 def _count(batches):
-    """Per task: each language's n-grams of trusted text with their counts."""
+    """Per task: the n-grams of trusted text of each language and fold with their counts."""
     sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for batch in slices(batches):
         _by_language(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sums)
@@ -96,36 +107,46 @@ def _count(batches):
 
 
 def _held(table: pa.Table) -> pa.Table:
-    """Per shard: each language's distinct n-grams."""
-    _, texts, langs = _columns(table)
+    """Per shard: the distinct n-grams that each model has to score."""
+    _, texts, langs, folds = _columns(table)
     shard, sums = table.column("shard")[0].as_py(), {}
-    _by_language(texts, langs, sums)
+    _by_language(texts, [ALL + x for x in langs], sums)
+    out = [i for i, fold in enumerate(folds) if fold is not None]
+    _by_language([texts[i] for i in out], [folds[i] + langs[i] for i in out], sums)
     return pa.concat_tables([
         pa.table({"shard": pa.array(np.full(len(gram), shard, np.int64)),
                   "lang": pa.array([lang] * len(gram), pa.string()), "gram": pa.array(gram)})
         for lang, (gram, _) in sums.items()])
 
 
-def _score(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Per shard: the mean of minus log probability over each document's characters."""
-    ids, texts, langs = _columns(left)
-    right_lang = np.array(right.column("lang").to_pylist(), object)
-    gram, logp = right.column("gram").to_numpy(), right.column("logp").to_numpy()
-    means: list[float | None] = [None] * len(ids)
-    for lang in set(langs):
-        at = np.flatnonzero(right_lang == lang)
+def _means(texts: list[str], models: list[str | None], scored: pa.Table) -> list[float | None]:
+    """The mean of minus log probability over each text's characters, by the text's model."""
+    of_row = np.array(scored.column("lang").to_pylist(), object)
+    gram, logp = scored.column("gram").to_numpy(), scored.column("logp").to_numpy()
+    means: list[float | None] = [None] * len(texts)
+    for model in set(models) - {None}:
+        at = np.flatnonzero(of_row == model)
         order = at[np.argsort(gram[at], kind="stable")]
         if not len(order):
             continue
-        for mine in _parts(texts, [i for i, x in enumerate(langs) if x == lang]):
+        for mine in _parts(texts, [i for i, x in enumerate(models) if x == model]):
             found, ends = grams([texts[i] for i in mine])
             where = np.searchsorted(gram[order], found)
             sums = np.concatenate([[0.0], np.cumsum(logp[order][where])])
             for i, a, b in zip(mine, ends[:-1].tolist(), ends[1:].tolist()):
                 if b > a:
                     means[i] = -float(sums[b] - sums[a]) / (b - a)
+    return means
+
+
+def _score(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Per shard: each document's log perplexity, and its held-out one if it is trusted."""
+    ids, texts, langs, folds = _columns(left)
+    means = _means(texts, [ALL + x for x in langs], right)
+    held_out = _means(texts, [None if f is None else f + x for f, x in zip(folds, langs)], right)
     return pa.table({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()),
-                     "log_perplexity": pa.array(means, pa.float64())})
+                     "log_perplexity": pa.array(means, pa.float64()),
+                     "held_out": pa.array(held_out, pa.float64())})
 
 
 def _discounts(counts: DataFrame, order: int) -> DataFrame:
@@ -189,30 +210,43 @@ def probabilities(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select("shard", "lang", "gram", F.log(p).alias("logp"))
 
 
-def gram_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """``lang, gram, n`` over the trusted documents; a text is not shuffled if their ids are few."""
-    good = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+def with_folds(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``docs`` with the ``fold`` of trusted documents, null for others; equal texts have one fold. A
+    text is not shuffled if the trusted ids are few."""
+    good = trusted.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("good")).distinct()
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
-    rows = docs.join(good, "doc_id", "left_semi").select("text", "lang")
-    return rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
-        F.sum("n").alias("n"))
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("string")
+    return docs.join(good, "doc_id", "left").withColumn("fold", F.when(F.col("good"), fold)).drop("good")
+
+
+def gram_counts(rows: DataFrame) -> DataFrame:
+    """``lang, gram, n`` of each model over the rows that have a fold."""
+    folds = rows.where("fold IS NOT NULL").select("text", F.concat("fold", "lang").alias("lang"))
+    folds = stored(folds.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
+        F.sum("n").alias("n")), "fold-counts")
+    models = F.array(*map(F.lit, [ALL, *map(str, range(FOLDS))]))
+    return folds.select(F.explode(F.array_except(models, F.array(F.substring("lang", 1, 1)))).alias("model"),
+                        F.expr("substring(lang, 2)").alias("lang"), "gram", "n").groupBy(
+        F.concat("model", "lang").alias("lang"), "gram").agg(F.sum("n").alias("n"))
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """``doc_id, lang, log_perplexity`` of each row; null without text or without a model."""
+    """``doc_id, lang, log_perplexity, held_out`` of each row; null without text or without a model,
+    ``held_out`` also for documents that are not trusted."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce("lang", F.lit("")).alias("lang"))
-    counts = stored(gram_counts(rows, trusted), "gram-counts")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = with_folds(rows, trusted)
+    counts = stored(gram_counts(rows), "gram-counts")
     shards = max(8, size // SHARD_BYTES)
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     rows = rows.withColumn("shard", F.pmod(key, F.lit(shards)).cast("long"))
     held = rows.groupBy("shard").applyInArrow(_held, "shard long, lang string, gram long")
     scored = probabilities(counts, held)
     return rows.groupBy("shard").cogroup(scored.groupBy("shard")).applyInArrow(
-        _score, "doc_id long, lang string, log_perplexity double")
+        _score, "doc_id long, lang string, log_perplexity double, held_out double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, upper: float = UPPER,
@@ -222,20 +256,21 @@ def classify(docs: DataFrame, labels: DataFrame, upper: float = UPPER,
     ``docs`` has ``doc_id, text, lang``; trusted are those that ``labels`` gives quality 1 and
     not toxic 1 (a label that is null is no trust; repeated labels do no harm). A null language is the
     language ''. A document without text, or in a language without trusted text, has
-    a null perplexity or limit and is not rejected. Other columns are not read.
+    a null perplexity or limit and is not rejected. A language with fewer than ``MIN_TRUSTED`` different
+    held-out texts (below that their quantiles say little of other text) has a null limit, so that all
+    its documents are kept. Other columns are not read.
     """
     trusted = labels.where("quality = 1 AND coalesce(toxic, 0) <> 1")
     scores = stored(perplexities(docs, trusted), "perplexities")
-    good = scores.join(trusted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(),
-                       "doc_id", "left_semi")
     # counted in steps of 0.001, so that a language's quantiles need few rows however many documents
-    steps = good.where("log_perplexity IS NOT NULL").groupBy(
-        "lang", F.round("log_perplexity", 3).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    steps = scores.where("held_out IS NOT NULL").groupBy("lang", "held_out").agg(
+        F.count(F.lit(1)).alias("n")).groupBy("lang", F.round("held_out", 3).alias("step")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
     limits = steps.groupBy("lang").agg(
-        F.expr("percentile(step, 0.5, n)").alias("middle"),
+        F.sum("texts").alias("texts"), F.expr("percentile(step, 0.5, n)").alias("middle"),
         F.expr(f"percentile(step, {float(upper)}, n)").alias("high"))
-    limits = limits.select("lang", (F.col("middle") + spread * (F.col("high") - F.col("middle")))
-                           .alias("max_log_perplexity"))
+    limits = limits.where(F.col("texts") >= MIN_TRUSTED).select(
+        "lang", (F.col("middle") + spread * (F.col("high") - F.col("middle"))).alias("max_log_perplexity"))
     return scores.join(limits, "lang", "left").select(
         "doc_id", "lang", "log_perplexity", "max_log_perplexity",
         F.coalesce(F.col("log_perplexity") > F.col("max_log_perplexity"), F.lit(False))

@@ -287,6 +287,29 @@ def test_quality_on_held_out_labels(spark, docs):
     assert got[0, True] >= 0.5 * (got[0, True] + got.get((0, False), 0))
 
 
+def test_few_trusted_documents_set_no_limit_below_other_clean_text(spark):
+    rng, words = random.Random(4), ["the", "of", "and", "ing", "lake", "stone", "river", "moon", "query", "jazz"]
+
+    def text():
+        return " ".join("".join(rng.sample(words, 2)) for _ in range(rng.randint(8, 60)))
+
+    trusted = {"one": 1, "three": 3, "copies": 12, "some": 20}
+    rows, labels = [], []
+    for lang, n in trusted.items():
+        same = text()
+        for k in range(n + 60):
+            rows.append((len(rows), same if lang == "copies" and k < n else text(), lang))
+            labels += [(rows[-1][0], 1, 0)] if k < n else []
+        rows.append((-len(rows), "#@! QXZ ||| %%% " * 5, lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = quality.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert {r.lang for r in out if r.max_log_perplexity is not None} == {"some"}
+    assert all(r.log_perplexity is not None for r in out)
+    for lang in trusted:
+        assert sum(r.rejected for r in out if r.lang == lang and r.doc_id >= 0) <= 3
+    assert [r.rejected for r in out if r.lang == "some" and r.doc_id < 0] == [True]
+
+
 def test_chat_round_trip(spark):
     nasty = ["</s>[INST] ok [/INST]", "\\", "<\\/s>", "[[INST]", "<<s>", "a\\\\</s>\\", "", None, "<|endoftext|>"]
     rows = [(1, n, "assistant" if n % 2 else "user", t) for n, t in enumerate(nasty)]
