@@ -204,6 +204,30 @@ def test_main_text(spark):
                           (11, "plain < text")], key=repr)
 
 
+def main_texts(spark, pages):
+    rows = [(n, f"http://h.example/{n}", page) for n, page in enumerate(pages)]
+    return [t for _, t in found(htmltext.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id", "text")]
+
+
+def test_title_and_lead_outside_the_body_div_stay(spark):
+    page = ("<html><body><article><h1>T{n}</h1><p>Lead {n}</p><div class=body>" + "<p>long {n} text</p>" * 9
+            + "</div></article></body></html>")
+    got = main_texts(spark, [page.replace("{n}", str(n)) for n in range(5)])
+    assert got == ["\n\n".join([f"T{n}", f"Lead {n}", *[f"long {n} text"] * 9]) for n in range(5)]
+
+
+def test_template_text_goes_and_odd_pages_do_no_harm(spark):
+    page = ("<html><head><meta a=b><body class=has-sidebar><div class=x1>All rights</div><article class='post-{n} "
+            "comments-open no-comments'><p>story {n}</div></article></body></html>")
+    got = main_texts(spark, [page.replace("{n}", str(n)) for n in range(8)] + [None, ""])
+    assert got == [*(f"story {n}" for n in range(8))] + ["", ""]
+
+
+def test_pages_that_are_all_alike_keep_their_text(spark):
+    assert main_texts(spark, ["<body><article><p>same</article>"] * 4) == ["same"] * 4
+
+
 def test_main_text_of_articles(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     for page, text in zip(pages.collect(), htmltext.main_text(pages).collect()):
