@@ -7,8 +7,10 @@ of it. Where documents meet, a window is a repeat if a smaller document had it;
 such windows are the maximal repeats of at least ``WINDOW`` words.
 
 Before anything moves, a task keeps only the first of its documents that have an anchor with the
-same windows; for the others the answer is known. An anchor of a passage that a third of all
-documents share thus travels once per task slice, and its rows are read as a stream.
+same windows; for the others the answer is known. The inner anchors of a passage that a third of all
+documents share thus travel once per task slice. Those near its edges stand for windows that reach into
+each document's own words, so each document sends a row, all to the anchor's one task, which holds
+their distinct windows.
 """
 
 from __future__ import annotations
@@ -83,7 +85,7 @@ def anchors(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _occurrences(batches):
-    """Rows ``doc_id, start, size, anchor, windows, known`` of each anchor of each document.
+    """Rows ``doc_id, key, start, size, anchor, windows, known`` of each anchor of each document.
 
     ``known``: a smaller document of the slice has the same anchor and windows, so that all of
     them are repeats; such a row needs no windows and goes anywhere.
@@ -92,8 +94,8 @@ def _occurrences(batches):
         ids = batch.column(0)
         order = np.argsort(ids.fill_null(np.iinfo(np.int64).max).to_numpy(), kind="stable")
         seen: dict[tuple, object] = {}
-        out = {k: [] for k in ("doc_id", "start", "size", "anchor", "windows", "known")}
-        texts, ids = batch.column(1), ids.to_pylist()
+        out = {k: [] for k in ("doc_id", "key", "start", "size", "anchor", "windows", "known")}
+        texts, ids, keys = batch.column(1), ids.to_pylist(), batch.column(2).to_pylist()
         for i in order.tolist():
             words = texts[i].as_py().encode().split()
             if len(words) < WINDOW:
@@ -106,29 +108,30 @@ def _occurrences(batches):
                 before = seen.setdefault((a, part), doc)
                 known = before is not None and before != doc
                 out["doc_id"].append(doc)
+                out["key"].append(keys[i])
                 out["start"].append(s)
                 out["size"].append(e - s)
                 out["anchor"].append(a if not known else a ^ (hash((doc, s)) | 1))
                 out["windows"].append(None if known else part)
                 out["known"].append(known)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(out["doc_id"], pa.int64()), pa.array(out["start"], pa.int32()),
-             pa.array(out["size"], pa.int32()), pa.array(out["anchor"], pa.int64()),
+            [pa.array(out["doc_id"], pa.int64()), pa.array(out["key"], pa.int64()),
+             pa.array(out["start"], pa.int32()), pa.array(out["size"], pa.int32()), pa.array(out["anchor"], pa.int64()),
              pa.array(out["windows"], pa.binary()), pa.array(out["known"], pa.bool_())], list(out))
 
 
 def _judge(batches):
-    """Rows ``doc_id, start, repeats`` from rows by anchor and id: bit k of ``repeats`` is set
+    """Rows ``doc_id, key, start, repeats`` from rows by anchor and id: bit k of ``repeats`` is set
     if window ``start + k`` also starts in a smaller document."""
     current, seen = None, {}
     for batch in batches:
-        doc, start = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        anchor, known = batch.column(3).to_numpy(), batch.column(5).to_pylist()
-        size, windows = batch.column(2).to_pylist(), batch.column(4)
+        doc, key, start, size = (batch.column(i).to_pylist() for i in range(4))
+        anchor, known = batch.column(4).to_numpy(), batch.column(6).to_pylist()
+        windows = batch.column(5)
         # an anchor that only one row has needs no look at its windows
         after = np.concatenate([anchor[1:] == anchor[:-1], [True]])
         before = np.concatenate([[current is None or anchor[0] == current], anchor[1:] == anchor[:-1]])
-        out = ([], [], [])
+        out = ([], [], [], [])
         for i in np.flatnonzero(after | before | np.array(known)).tolist():
             if known[i]:
                 bits = (1 << size[i]) - 1
@@ -141,19 +144,20 @@ def _judge(batches):
                     if owner is not None and owner != me:
                         bits |= 1 << k
             if bits:
-                for x, y in zip(out, (doc[i], start[i], bits)):
+                for x, y in zip(out, (doc[i], key[i], start[i], bits)):
                     x.append(y)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64())],
-            ["doc_id", "start", "repeats"])
+            [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64()))],
+            ["doc_id", "key", "start", "repeats"])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, start, repeats`` of ``docs(doc_id, text)``: which windows repeat a smaller document's."""
-    rows = docs.mapInArrow(_occurrences, "doc_id long, start int, size int, anchor long, "
+    """``doc_id, key, start, repeats`` of ``docs(doc_id, text, key)``: which windows repeat a smaller document's.
+    ``key``: a digest of the text, since places hold for one text only and ids may be null or repeat."""
+    rows = docs.mapInArrow(_occurrences, "doc_id long, key long, start int, size int, anchor long, "
                                          "windows binary, known boolean")
     dealt = rows.repartition("anchor").sortWithinPartitions("anchor", F.col("doc_id").asc_nulls_last())
-    return dealt.mapInArrow(_judge, "doc_id long, start int, repeats long")
+    return dealt.mapInArrow(_judge, "doc_id long, key long, start int, repeats long")
 
 
 def kept_words(words: list[bytes], found: list[dict]) -> list[bytes]:
@@ -176,13 +180,16 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Words are runs without ASCII white space. A word goes if a window of ``WINDOW`` words that covers
     it also starts in a document with a smaller id. A null id is larger than all others and no
-    id is smaller than its own, so rows that repeat an id don't remove each other's words. A
+    id is smaller than its own, so rows that repeat an id don't remove each other's words, and each
+    loses only the repeats of its own text. A
     null text has no words. Other columns are not read; an empty table gives no rows.
     """
-    rows = id_and_text(docs, id_col, text_col)
-    found = repeats(rows).groupBy("doc_id").agg(
-        F.collect_set(F.struct("start", "repeats")).alias("found")).withColumnRenamed("doc_id", "at_id")
-    joined = rows.join(found, rows["doc_id"].eqNullSafe(found["at_id"]), "left").select(
+    rows = id_and_text(docs, id_col, text_col).withColumn("key", F.xxhash64("text"))
+    found = repeats(rows).groupBy("doc_id", "key").agg(
+        F.collect_set(F.struct("start", "repeats")).alias("found")).withColumnsRenamed(
+        {"doc_id": "at_id", "key": "at_key"})
+    joined = rows.join(found, (rows["key"] == found["at_key"])
+                       & rows["doc_id"].eqNullSafe(found["at_id"]), "left").select(
         "doc_id", "text", "found")
 
     def run(batches):

@@ -188,6 +188,16 @@ def test_substrings_are_those_of_brute_force(odd, docs):
         assert got == brute_substrings(texts(df))
 
 
+def test_rows_without_an_id_lose_only_their_own_repeats(spark):
+    own = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    rows = [(1, DAY), (None, own("a", 30) + " " + DAY), (None, own("b", 200)), (None, None),
+            (5, own("c", 10) + " " + DAY + " " + own("d", 90)), (5, own("e", 150)), (5, own("e", 150))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found(substring.dedup_substrings(df), "doc_id", "n_words", "n_removed", "kept")
+    assert got == brute_substrings([(i, t or "") for i, t in rows])
+    assert (None, 200, 0, own("b", 200)) in got and (None, 110, 80, own("a", 30)) in got
+
+
 PAGE = """<html><head><title>x</title></head><body><header>H</header><nav><a>m {n}</a></nav>
 <div class="cookie-notice">c</div><div id=wrap><main><h1>T{n} &amp; t</h1><p>a <b>b</b>&nbsp;c<p>d{n}
 <form>f</form><div class="comments">zz</div></main><aside>s</aside></div>
