@@ -4,7 +4,7 @@ A line goes down a tree of fixed depth: by its number of tokens, then by its fir
 tokens; tokens with a digit are variable and read ``<*>``. In a leaf, a token that stays rare at its
 place is a variable field too. What remains is the line's template, if at least
 ``CONSTANT`` of its tokens are constant, or else the line itself. Templates that occur in
-``MIN_DOCS`` documents or more are dropped from all of them.
+``min_docs`` documents or more are dropped from all of them.
 
 Counts of leaves are summed in each task first, so only lines of leaves that can hold a
 recurring template go on, and of those each distinct line once per leaf.
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from bidlens.llm.common import id_and_text, slices, stored
 
 LEADING = 3
-MIN_TOKENS = 3
+MIN_TOKENS = 2
 MIN_DOCS = 10
 CONSTANT = 0.5
 FIELD = "<*>"
@@ -68,7 +69,7 @@ def _lines(batches):
             ["doc_id", "leaf", "line"])
 
 
-def templates_of(lines: list[str], counts: list[int]) -> list[str]:
+def templates_of(lines: list[str], counts: list[int], min_docs: int = MIN_DOCS) -> list[str]:
     """The template of each distinct line of a leaf; ``counts``: in how many documents each is."""
     split = [x.split(" ") for x in lines]
     support = [Counter() for _ in split[0]]
@@ -77,19 +78,19 @@ def templates_of(lines: list[str], counts: list[int]) -> list[str]:
             place[token] += n
     out = []
     for line, tokens in zip(lines, split):
-        form = [t if place[t] >= MIN_DOCS else FIELD for place, t in zip(support, tokens)]
+        form = [t if place[t] >= min_docs else FIELD for place, t in zip(support, tokens)]
         constant = sum(t != FIELD for t in form)
         out.append(" ".join(form) if constant >= CONSTANT * len(form) else line)
     return out
 
 
-def _templates(batches):
+def _templates(batches, min_docs: int = MIN_DOCS):
     """``line, template`` for each line of rows by leaf."""
     leaf, lines, counts = None, [], []
 
     def done():
         return pa.RecordBatch.from_arrays(
-            [pa.array(lines, pa.string()), pa.array(templates_of(lines, counts), pa.string())],
+            [pa.array(lines, pa.string()), pa.array(templates_of(lines, counts, min_docs), pa.string())],
             ["line", "template"])
 
     for batch in batches:
@@ -113,7 +114,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
                    .join(busy, "leaf", "left_semi"), "lines")
     distinct = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
     named = stored(distinct.repartition("leaf").sortWithinPartitions("leaf", "line")
-                   .mapInArrow(_templates, "line string, template string"), "line-templates")
+                   .mapInArrow(partial(_templates, min_docs=min_docs), "line string, template string"), "line-templates")
     found = lines.select("doc_id", "line").join(named, "line")
     often = found.select("template", "doc_id").distinct().groupBy("template").agg(
         F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("template")

@@ -255,6 +255,14 @@ def test_lines_that_recur_are_dropped(spark):
     assert all(r[3] == f"only here {chr(97 + r[0])} {r[0]}x end of it\nok" for r in got if r[0] >= 10)
 
 
+def test_short_lines_and_few_documents(spark):
+    rows = [(i, f"And ornd.\nbuy a big {w} today here\n{w}my own {w}{w} lines") for i, w in enumerate("abcd")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found(linededup.dedup_lines(df, min_docs=4), "doc_id", "n_lines", "n_dropped")
+    assert got == [(i, 3, 2) for i in range(4)]
+    assert linededup.dedup_lines(df).where("n_dropped > 0").count() == 0
+
+
 def test_a_template_needs_enough_documents(spark):
     one = spark.createDataFrame([(1, "\n".join(f"row number {i} of one list" for i in range(50)))],
                                 "doc_id long, text string")
