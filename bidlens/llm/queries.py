@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlens.llm import bpe, chat, decontaminate, exactdedup, htmltext, linededup, quality, simhash, substring, tokencount
+from bidlens.llm import (
+    bpe, chat, collocation, decontaminate, exactdedup, htmltext, linededup, quality, simhash, substring, tokencount,
+)
 from bidlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +103,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.chat_format(turns.unionByName(added), BYTE_BPE), BYTE_BPE)
+
+
+@query("op11_collocations", r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+     w AS (SELECT lang, [x FOR x IN regexp_split_to_array(piece, '[\x20\x09]+') IF x <> ''] AS words FROM p),
+     s AS (SELECT lang, words, unnest([1, 2, 3, 4]) AS size FROM w),
+     i AS (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS pos FROM s),
+     g AS (SELECT lang, size, array_to_string(list_slice(words, pos, pos + size - 1), ' ') AS phrase FROM i),
+     f AS (SELECT lang, size, phrase, count(*) AS n FROM g GROUP BY ALL HAVING count(*) >= 30),
+     t AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+     c AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS words FROM f WHERE size > 1),
+     o AS (SELECT lang, size, a, words, unnest(range(1, 4)) AS pos FROM c WHERE size > 2),
+     v AS (SELECT lang, size, a, words, pos, unnest(range(2, size)) AS n FROM o),
+     m AS (SELECT lang, array_to_string(list_slice(words, pos, pos + n - 1), ' ') AS phrase, max(a) AS longer
+           FROM v WHERE pos + n - 1 <= size GROUP BY ALL),
+     k AS (SELECT c.*, unnest(range(1, size)) AS cut FROM c LEFT JOIN m USING (lang, phrase)
+           WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+     q AS (SELECT k.lang, k.phrase, k.a, k.cut, l.n AS l, r.n AS r, (2000000::HUGEINT * k.a) // (l.n + r.n) AS score
+           FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(list_slice(words, 1, cut), ' ')
+                  JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(list_slice(words, cut + 1, k.size), ' ')),
+     b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM q),
+     z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+           FROM b WHERE nth = 1)
+SELECT z.lang, rank, phrase, a, l, r, t.n, score::BIGINT AS score FROM z JOIN t USING (lang) WHERE rank <= 2000""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
