@@ -21,8 +21,8 @@ MIN_COUNT, TOP, LONGEST = 30, 2000, 4
 #: Percent of a phrase's occurrences within one longer phrase from which on it is dropped.
 WITHIN = 80
 SCALE = 2_000_000
-#: Bytes of text in a shard, and n-gram occurrences in a part; either has about 20 bytes of memory each.
-SHARD_BYTES, PART_MASS = 16 << 20, 8_000_000
+#: Bytes of text in a shard, and n-gram occurrences in a part; either takes about 40 bytes of memory each.
+SHARD_BYTES, PART_MASS = 7 << 20, 6_000_000
 #: Counters of a summary for each count of the threshold: an error of a fourth of it at most.
 CAPACITY = 4
 BASE = 0x9E3779B97F4A7C15
@@ -70,6 +70,7 @@ class Shard:
         inner[1:-1] = (x != 32) & (x != 10)
         edge = np.diff(inner)
         self.x, self.starts, self.ends = x, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        del inner, edge
         self.piece = np.cumsum(x == 10, dtype=np.int32)[self.starts]
         self.names = sorted(set(langs))
         code = {name: i for i, name in enumerate(self.names)}
@@ -109,9 +110,10 @@ def _columns(table: pa.Table):
 def _question(bits: int):
     def ask(table: pa.Table) -> pa.Table:
         shard = Shard(*_columns(table))
-        found = [(dealing.shortened(key, bits), at) for _, key, at in shard.grams()]
+        found = [(dealing.shortened(key, bits), None if shard.plain else at) for _, key, at in shard.grams()]
         keys = np.concatenate([k for k, _ in found])
         if shard.plain:
+            del found
             keys, counts = np.unique(keys, return_counts=True)
         else:
             order = np.argsort(keys)
