@@ -22,7 +22,7 @@ MIN_COUNT, TOP, LONGEST = 30, 2000, 4
 WITHIN = 80
 SCALE = 2_000_000
 #: Bytes of text in a shard, and n-gram occurrences in a part; either takes about 40 bytes of memory each.
-SHARD_BYTES, PART_MASS = 7 << 20, 6_000_000
+SHARD_BYTES, PART_MASS = 4 << 20, 4_000_000
 #: Counters of a summary for each count of the threshold: an error of a fourth of it at most.
 CAPACITY = 4
 BASE = 0x9E3779B97F4A7C15
@@ -69,7 +69,8 @@ class Shard:
         inner = np.zeros(len(x) + 2, np.int8)
         inner[1:-1] = (x != 32) & (x != 10)
         edge = np.diff(inner)
-        self.x, self.starts, self.ends = x, np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        of = np.int32 if len(x) < 1 << 31 else np.int64
+        self.x, self.starts, self.ends = x, np.flatnonzero(edge == 1).astype(of), np.flatnonzero(edge == -1).astype(of)
         del inner, edge
         self.piece = np.cumsum(x == 10, dtype=np.int32)[self.starts]
         self.names = sorted(set(langs))
@@ -91,7 +92,7 @@ class Shard:
 
     def grams(self):
         """``size, keys, at`` for 1- to ``LONGEST``-grams: hashes, and the numbers of their first words."""
-        key, at = _mixed(self.hash ^ self.seed), np.arange(len(self.hash))
+        key, at = _mixed(self.hash ^ self.seed), np.arange(len(self.hash), dtype=self.starts.dtype)
         for size in range(1, LONGEST + 1):
             if size > 1:
                 inside = at < len(self.piece) - size + 1
