@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidlens.llm import (
-    bpe, chat, collocation, decontaminate, exactdedup, htmltext, linededup, quality, simhash, substring, tokencount,
+    bpe, chat, collocation, decontaminate, exactdedup, htmltext, linededup, quality, simhash, substring, suffixes,
+    tokencount,
 )
 from bidlens.llm.common import table
 
@@ -131,3 +132,9 @@ WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(tr
 SELECT z.lang, rank, phrase, a, l, r, t.n, score::BIGINT AS score FROM z JOIN t USING (lang) WHERE rank <= 2000""")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_suffix_array")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.dedup_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
