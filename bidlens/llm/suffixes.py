@@ -25,9 +25,9 @@ from bidlens.llm.common import id_and_text, slices
 from bidlens.llm.substring import Rolling
 
 WIDTH, GRAM = 50, 20
-HOT = 2000
+HOT = 10_000
 #: Bytes of text in a shard and, if all of it repeats, in a part; string starts that a pass handles at once.
-SHARD_BYTES, PART_BYTES, STEP = 4 << 20, 8 << 20, 1 << 19
+SHARD_BYTES, PART_BYTES, STEP = 4 << 20, 4 << 20, 1 << 19
 POSITION = np.uint64((1 << 20) - 1)
 NO_ID = np.iinfo(np.int64).max
 UNITS = "shard long, part long, bytes binary, starts binary, owners binary"
@@ -40,9 +40,8 @@ def types(x: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than their successors."""
     if not len(x):
         return np.zeros(0, bool)
-    at = np.where(np.append(x[1:] != x[:-1], True), np.arange(len(x)), len(x))
-    at = np.minimum.accumulate(at[::-1])[::-1]  # where the run of equal bytes ends
-    return (at < len(x) - 1) & (x[at] < x[np.minimum(at + 1, len(x) - 1)])
+    ends = np.flatnonzero(np.append(x[1:] != x[:-1], True))  # of the runs of equal bytes
+    return np.repeat(np.append(x[ends[:-1]] < x[ends[:-1] + 1], False), np.diff(ends, prepend=-1))
 
 
 def _words(padded: np.ndarray) -> np.ndarray:
@@ -83,19 +82,23 @@ def suffix_order(x: np.ndarray, wanted: np.ndarray, width: int = WIDTH) -> np.nd
     """
     n = len(x)
     padded = np.concatenate([x, np.zeros(width + 16, np.uint8)])
-    words, smaller, index = _words(padded), types(x), np.arange(n)
-    sums = np.concatenate([[0], np.cumsum(wanted)])
-    before = np.maximum.accumulate(np.concatenate([[0], np.where(smaller, index + 1, 0)[:-1]])) if n else index
-    needed = sums[1:] - sums[before] > 0  # wanted, or reached from a wanted one by larger suffixes only
-    direct = sorted_directly(words, np.flatnonzero(needed & smaller), width)
+    of = np.int32 if n < 1 << 31 else np.int64
+    words, smaller, index = _words(padded), types(x), np.zeros(0, of)
+    # wanted, or reached from a wanted one by larger suffixes only: some wanted since the last smaller one
+    stretch = np.cumsum(np.concatenate([[0], smaller[:-1]]), dtype=of) if n else index
+    begin = np.flatnonzero(np.concatenate([[True], smaller[:-1]]))[:n]
+    sums = np.cumsum(wanted, dtype=of)
+    needed = sums > np.concatenate([np.zeros(1, of), sums])[begin][stretch] if n else wanted
+    del stretch, sums
+    direct = sorted_directly(words, np.flatnonzero(needed & smaller).astype(of), width)
     edges = np.searchsorted(x[direct], np.arange(257))
     # of each bucket: what earlier buckets induced into it
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
     if n and needed[n - 1]:
-        induced[x[n - 1]].append(np.array([n - 1]))  # larger than the empty suffix after it
+        induced[x[n - 1]].append(np.array([n - 1], of))  # larger than the empty suffix after it
     out = []
     for c in range(256):
-        level = np.concatenate(induced[c]) if induced[c] else index[:0]
+        level = np.concatenate(induced[c]) if induced[c] else index
         bucket = []
         while len(level):
             bucket.append(level)
@@ -115,7 +118,7 @@ def suffix_order(x: np.ndarray, wanted: np.ndarray, width: int = WIDTH) -> np.nd
         cut = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))[:len(first)]
         for a, b in zip(cut.tolist(), np.append(cut[1:], len(first)).tolist()):
             induced[first[a]].append(earlier[a:b])
-    found = np.concatenate(out) if out else index[:0]
+    found = np.concatenate(out) if out else index
     return found[wanted[found]]
 
 
@@ -135,7 +138,7 @@ def repeated(x: np.ndarray, wanted: np.ndarray, owner: np.ndarray, width: int =
     order = suffix_order(x, wanted, width)
     if not len(order):
         return np.zeros(0, bool)
-    index = np.cumsum(wanted) - 1
+    index = np.cumsum(wanted, dtype=order.dtype) - 1
     mine = owner[index[order]]
     first = np.flatnonzero(~equal_prefix(x, order, width))
     least = np.repeat(np.minimum.reduceat(mine, first), np.diff(np.append(first, len(mine))))
