@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from bidlens.llm import dealing
 from bidlens.llm.common import slices, stored
+from bidlens.llm.dealing import mixed
 
 MIN_COUNT, TOP, LONGEST = 30, 2000, 4
 #: Percent of a phrase's occurrences within one longer phrase from which on it is dropped.
@@ -26,17 +27,11 @@ SHARD_BYTES, PART_MASS = 4 << 20, 4_000_000
 #: Counters of a summary for each count of the threshold: an error of a fourth of it at most.
 CAPACITY = 4
 BASE = 0x9E3779B97F4A7C15
-MIX = np.uint64(0xBF58476D1CE4E5B9)
 LOWER_SPLIT = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\x0d",
                               b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
 RUN_BYTES = 1 << 20
 
 
-def _mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(29))) * MIX
-    return values ^ (values >> np.uint64(32))
-
-
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base & (1 << 64) - 1, np.uint64)
     out[0] = 1
@@ -56,7 +51,7 @@ def hash_words(x: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
         np.cumsum((x[lo:hi].astype(np.uint64) + np.uint64(1)) * up[:hi - lo], out=sums[1:])
         out[a:b] = (sums[ends[a:b] - lo] - sums[starts[a:b] - lo]) * down[starts[a:b] - lo]
         a = b
-    return _mixed(out)
+    return mixed(out)
 
 
 class Shard:
@@ -92,14 +87,14 @@ class Shard:
 
     def grams(self):
         """``size, keys, at`` for 1- to ``LONGEST``-grams: hashes, and the numbers of their first words."""
-        key, at = _mixed(self.hash ^ self.seed), np.arange(len(self.hash), dtype=self.starts.dtype)
+        key, at = mixed(self.hash ^ self.seed), np.arange(len(self.hash), dtype=self.starts.dtype)
         for size in range(1, LONGEST + 1):
             if size > 1:
                 inside = at < len(self.piece) - size + 1
                 at, key = at[inside], key[inside]
                 ok = self.piece[at] == self.piece[at + size - 1]
                 at, key = at[ok], key[ok]
-                key = _mixed(key * np.uint64(BASE) + self.hash[at + size - 1])
+                key = mixed(key * np.uint64(BASE) + self.hash[at + size - 1])
             yield size, key, at
 
 

@@ -20,6 +20,12 @@ ASK = "shard long, part long, keys binary, counts binary"
 ANSWER = "shard long, part long, keys binary"
 
 
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Each number's bits spread over all 64 bits, one to one."""
+    values = (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return values ^ (values >> np.uint64(32))
+
+
 def part_bits(mass: float, target: float) -> int:
     """How many first bits name a part, so that a part gets about ``target`` of ``mass``."""
     return max(3, min(SENT_BITS, int(np.ceil(np.log2(max(1.0, mass / target))))))

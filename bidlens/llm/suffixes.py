@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bidlens.llm import dealing
+from bidlens.llm.dealing import mixed
 from bidlens.llm.common import id_and_text, slices
 from bidlens.llm.substring import Rolling
 
@@ -187,7 +188,8 @@ class Shard:
         first = np.flatnonzero(edge)
         size = np.diff(np.append(first, len(at)))
         first, size = first[inside[first]], size[inside[first]]
-        return first + a, size, grams[at[first]]
+        # an anchor is a least hash, so only a hash of it is spread evenly over the parts
+        return first + a, size, mixed(grams[at[first]])
 
     def units(self, shared: np.ndarray, hot: np.ndarray, bits: int):
         """What is sent: ``part, bytes, strings, owner`` of distinct stretches, and for each run with a
