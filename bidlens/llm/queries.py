@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidlens.llm import (
-    bpe, chat, collocation, decontaminate, exactdedup, htmltext, linededup, quality, simhash, substring, suffixes,
-    tokencount,
+    alignment, bpe, chat, collocation, decontaminate, exactdedup, htmltext, linededup, quality, simhash, substring,
+    suffixes, tokencount,
 )
 from bidlens.llm.common import table
 
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None):
@@ -138,3 +139,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.dedup_bytes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
