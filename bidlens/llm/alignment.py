@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from bidlens.llm import bpe, dealing
 from bidlens.llm.common import id_and_text, slices, stored
 
-#: Bytes of text whose distinct pairs are sent as one unit.
-UNIT_BYTES = 16 << 20
+#: Bytes of text whose distinct pairs are sent as one unit, and that are aligned at once.
+UNIT_BYTES, STEP_BYTES = 12 << 20, 1 << 20
 #: Pairs of a group beyond which its distinct ids are paired with their counts, and not each token.
 LARGE_GROUP = 4096
 ID_BITS = 20
@@ -77,11 +77,10 @@ class Side:
 def overlaps(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of all tokens of ``a`` and of ``b`` with a byte in common."""
     left, right = a.frame("a"), b.frame("b")
-    both = [pd.merge_asof(left, right, on="start", by="doc"), pd.merge_asof(right, left, on="start", by="doc")]
-    x = np.concatenate([f["a"].to_numpy() for f in both])
-    y = np.concatenate([f["b"].to_numpy() for f in both])
-    code = np.unique(x * max(1, len(b.ids)) + y)
-    return code // max(1, len(b.ids)), code % max(1, len(b.ids))
+    one, other = pd.merge_asof(left, right, on="start", by="doc"), pd.merge_asof(right, left, on="start", by="doc")
+    x, y = other["a"].to_numpy(), other["b"].to_numpy()
+    new = b.start[y] > a.start[x]  # tokens that start together are in both directions
+    return np.concatenate([one["a"].to_numpy(), x[new]]), np.concatenate([one["b"].to_numpy(), y[new]])
 
 
 def _group_numbers(side: Side, closers: np.ndarray) -> np.ndarray:
@@ -119,13 +118,13 @@ def align(texts: list[str], a_vocabulary: str, b_vocabulary: str) -> list[tuple]
         raise ValueError("vocabularies of over a million ids can't be paired")
     spaced = [" " + t for t in texts]
     a_ids, b_ids = first.encode(spaced, reserved=False), second.encode(texts)
-    get_a, get_b = first.token_bytes.__getitem__, second.bytes.__getitem__
-    none = np.zeros(0, np.int64)
+    get, none, sizes = second.bytes.__getitem__, np.zeros(0, np.int64), np.array(first.sizes, np.int64)
     for i, (t, s) in enumerate(zip(texts, spaced)):
         raw = s.encode()
-        if not t or b"".join(map(get_b, b_ids[i])) != raw or b"".join(map(get_a, a_ids[i].tolist())) != raw:
+        # a's encoder only takes a text apart, so that the sum of sizes shows whether all of it is there
+        if not t or sizes[a_ids[i]].sum() != len(raw) or b"".join(map(get, b_ids[i])) != raw:
             a_ids[i], b_ids[i] = none, none
-    a = Side(a_ids, np.array(first.sizes, np.int64))
+    a = Side(a_ids, sizes)
     b = Side([np.asarray(x, np.int64) for x in b_ids], np.array([len(x) for x in second.bytes], np.int64))
     x, y = overlaps(a, b)
     closing = a.end[x] == b.end[y]
@@ -184,7 +183,7 @@ def aligned(docs: DataFrame, a_vocabulary: str, b_vocabulary: str) -> DataFrame:
 
     def run(batches):
         rows, size = [], 0
-        for batch in slices(batches):
+        for batch in slices(batches, STEP_BYTES):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc, (n_a, n_b, n_groups, n_links, groups, codes, links) in zip(
                     ids, align(texts, a_vocabulary, b_vocabulary)):

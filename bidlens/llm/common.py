@@ -33,12 +33,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of whole rows with about ``SLICE_CHARS`` bytes in all, so that memory stays bounded."""
+def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """Runs of whole rows with about ``size`` bytes in all, so that memory stays bounded."""
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        step = max(1, min(n, int(n * SLICE_CHARS / max(1, batch.nbytes))))
+        step = max(1, min(n, int(n * size / max(1, batch.nbytes))))
         for start in range(0, n, step):
             yield batch.slice(start, step)
