@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bidlens.functions import estimate, mean_of, sketch_of
-from bidlens.operators.rollup import PUB_GEO, flat_window, resolved, window_of
+from bidlens.operators.rollup import PUB_GEO, flat_window, merge_partials, partial_state, resolved, window_of
 from bidlens.session import RECOMMENDED
 from bidlens.sources.schemas import UNKNOWN_GEO
 
@@ -174,3 +174,26 @@ def late_rows(query: StreamingQuery) -> int:
     """
     return sum(op["numRowsDroppedByWatermark"]
                for report in query.recentProgress for op in report["stateOperators"])
+
+
+def cq_sliding_panes(df: DataFrame, duration: str, slide: str, watermark: str | None = None,
+                     unknown: str = UNKNOWN_GEO) -> DataFrame:
+    """``cq_pub_geo`` with sketched uniques over sliding windows, made from panes of the slide's length.
+
+    A row is aggregated once, into its pane; a window merges its panes, so that only one small state per pane
+    and key is repeated, and not each row. ``duration`` must be a multiple of ``slide``.
+    """
+    lengths = df.sparkSession.sql(
+        f"SELECT unix_micros(timestamp'1970-01-01 00:00:00Z' + interval {duration}) AS a, "
+        f"unix_micros(timestamp'1970-01-01 00:00:00Z' + interval {slide}) AS b").first()
+    if lengths.b <= 0 or lengths.a % lengths.b:
+        raise ValueError(f"{duration} is no multiple of {slide}")
+    rows = resolved(df, unknown)
+    if df.isStreaming:
+        rows = rows.withWatermark("time_stamp", watermark or slide)
+    panes = partial_state(rows, [window_of(slide), *PUB_GEO])
+    windows = merge_partials(panes, [F.window("window", duration, slide).alias("window"), *PUB_GEO])
+    return flat_window(windows).select(
+        "window_start", "window_end", *PUB_GEO, "first_seen", "sum_bids",
+        F.try_divide(F.col("sum_bids").cast("double"), F.col("n_bids").cast("double")).alias("avg_bid"),
+        "imps", "cookies", estimate("cookies").alias("uniques"))

@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidlens.operators import approx, rollup, sampling, snapshot, storage
+from bidlens.operators import approx, rollup, sampling, snapshot, storage, uniques
 from bidlens.plans import ads, clicks, mixed
 from bidlens.sources import payloads, streams, tables
 from bidlens.sources.schemas import CLICK, IMPRESSION_MESSAGE
 from bidlens.sources.workspace import work_dir
-from bidlens.streaming import continuous, ingest
+from bidlens.streaming import continuous, ingest, stateful
 from fixtures.encode import as_messages, payloads as encoded
 from fixtures.oracle import (
     AGG, ad_oracles, aggregate_sample_oracle, ch_oracles, click_oracles, estimate_oracle, sample_oracle, window_oracle,
@@ -165,6 +165,82 @@ def _cq_stream_hll(d: Data) -> DataFrame:
     return _streamed(d, "cq-hll", rolled.drop("cookies"))
 
 
+@register("cq_sliding_panes", window_oracle("2 HOUR", "publisher, geo", slide="1 HOUR"))
+def _cq_panes(d: Data) -> DataFrame:
+    return continuous.cq_sliding_panes(d.impressions, "2 hours", "1 hour").drop("cookies")
+
+
+@register("cq_stream_panes", window_oracle("2 HOUR", "publisher, geo", closed=True, slide="1 HOUR"))
+def _cq_stream_panes(d: Data) -> DataFrame:
+    rolled = continuous.cq_sliding_panes(_event_stream(d), "2 hours", "1 hour", NO_DELAY)
+    return _streamed(d, "cq-panes", rolled.drop("cookies"))
+
+
+@register("cq_exact_uniques_update", window_oracle("1 HOUR", "publisher, geo"))
+def _cq_update(d: Data) -> DataFrame:
+    own = Data(continuous.stream_session(d.spark, STATE_PARTITIONS), d.sf_dir)
+    home = work_dir(own.spark, "cq-update")
+    stateful.start_changes(stateful.early_uniques(_event_stream(own), "1 hour", NO_DELAY), f"{home}/changes",
+                           f"{home}/checkpoint", partitions=STATE_PARTITIONS).awaitTermination()
+    return stateful.latest_uniques(own.spark, f"{home}/changes")
+
+
+# A tenth of the events comes two of the five deliveries too late.
+DELIVERED = """least(4, cast(floor(5.0 * (event_id - first_id) / (last_id - first_id + 1)) AS int))"""
+DELIVERED = f"CASE WHEN event_id % 10 = 0 AND {DELIVERED} < 3 THEN {DELIVERED} + 2 ELSE {DELIVERED} END"
+
+
+@register("stream_late_rows", with_views(
+    "SELECT kind, window_start, window_start + INTERVAL 1 HOUR AS window_end, publisher, geo, "
+    "min(time_stamp) AS first_seen, cast(sum(bid) AS double) AS sum_bids, count(bid) AS n_bids, count(*) AS imps FROM j "
+    "WHERE kind = 'late' OR window_start + INTERVAL 1 HOUR <= (SELECT max(time_stamp) FROM w) GROUP BY ALL",
+    "impressions", extra=f"""w AS (
+        SELECT *, time_bucket(INTERVAL 1 HOUR, time_stamp) AS window_start, {DELIVERED} AS delivery
+        FROM impressions, (SELECT min(event_id) AS first_id, max(event_id) AS last_id FROM events) WHERE geo <> 'un'),
+    m AS (SELECT delivery, date_trunc('milliseconds', max(max(time_stamp)) OVER (
+              ORDER BY delivery ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS reached FROM w GROUP BY delivery),
+    j AS (SELECT w.*, CASE WHEN window_start + INTERVAL 1 HOUR <= reached THEN 'late' ELSE 'on time' END AS kind
+          FROM w JOIN m USING (delivery))"""))
+def _late_rows(d: Data) -> DataFrame:
+    own = Data(continuous.stream_session(d.spark, STATE_PARTITIONS), d.sf_dir)
+    home, rows = work_dir(own.spark, "late-rows"), _zoned(own.impressions)
+    bounds = rows.agg(F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+    dealt = rows.crossJoin(F.broadcast(bounds)).withColumn("delivery", F.expr(DELIVERED)).drop("first_id", "last_id")
+    for n in range(5):  # one delivery after another, each read by a stream that starts where the last one ended
+        dealt.where(F.col("delivery") == n).drop("delivery").write.mode("append").parquet(f"{home}/landed")
+        landed = streams.replay_stream(own.spark, f"{home}/landed", rows.schema)
+        continuous.start_append(
+            stateful.windows_with_late_rows(landed, "1 hour", NO_DELAY), f"{home}/out", f"{home}/checkpoint",
+            partitions=STATE_PARTITIONS).awaitTermination()
+    return stateful.window_totals(own.spark.read.parquet(f"{home}/out"))
+
+
+LEVELS = "SELECT *, time_bucket(INTERVAL 1 DAY, time_stamp) AS day FROM impressions WHERE geo <> 'un'"
+
+
+@register("merge_exact_partials", with_views(
+    "SELECT CASE WHEN grouping(day) = 0 THEN 'day' WHEN grouping(geo) = 0 THEN 'geo' ELSE 'whole' END AS level, "
+    "day, geo, min(time_stamp) AS first_seen, cast(sum(bid) AS double) / count(bid) AS avg_bid, count(*) AS imps, "
+    "count(DISTINCT cookie) AS uniques FROM w GROUP BY GROUPING SETS ((day, geo), (geo), ())", "impressions",
+    extra=f"w AS ({LEVELS})"))
+def _merge_exact(d: Data) -> DataFrame:
+    home, rows = work_dir(d.spark, "exact-partials"), rollup.resolved(_zoned(d.impressions))
+    half = rows.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0] or 0
+    for n, part in enumerate((rows.where(F.col("event_id") < half), rows.where(F.col("event_id") >= half))):
+        ids = uniques.extend_dictionary(d.spark, f"{home}/ids", part, "cookie", n)
+        uniques.exact_partials(part, ids, [rollup.window_of("1 hour"), *rollup.PUB_GEO]).write.mode(
+            "overwrite").parquet(f"{home}/hours/batch={n}")
+    hours = d.spark.read.parquet(f"{home}/hours")
+    days = uniques.merge_exact(hours, [F.date_trunc("day", "window.start").alias("day"), "geo"])
+    geos = uniques.merge_exact(days, ["geo"])
+    whole, none = uniques.merge_exact(geos, []), F.lit(None)
+    parts = [("day", uniques.finish_exact(days, ["day", "geo"])),
+             ("geo", uniques.finish_exact(geos, [none.cast("timestamp").alias("day"), "geo"])),
+             ("whole", uniques.finish_exact(whole, [none.cast("timestamp").alias("day"), none.cast("string").alias("geo")]))]
+    out = [df.select(F.lit(level).alias("level"), *df.columns) for level, df in parts]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @register("continuous_query", with_views(
     "SELECT window_start, publisher, geo, min(time_stamp) AS time_stamp, "
     "cast(sum(bid) AS double) / count(bid) AS avg_bid, count(*) AS imps FROM w "
