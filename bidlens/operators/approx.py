@@ -119,8 +119,13 @@ def approx_aggregate(sample: DataFrame, group_by: list[str], aggs: dict[str, tup
         violated = violated | limit
     if not result.where(violated).limit(1).collect():
         return result
+    return exact_aggregate(base, group_by, aggs)
+
+
+def exact_aggregate(base: DataFrame, group_by: list[str], aggs: dict[str, tuple]) -> DataFrame:
+    """The aggregates of ``approx_aggregate`` from all rows, with error 0."""
     exact = {"count": F.count, "sum": F.sum, "avg": F.avg}
-    columns = []
+    columns: list[Column] = []
     for name, (kind, *col) in aggs.items():
         value = exact[kind](F.col(col[0]) if col else F.lit(1)).cast("double")
         columns += [value.alias(name), F.lit(0.0).alias(f"{name}_error")]

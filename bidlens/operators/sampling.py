@@ -9,7 +9,7 @@ rows that sampling from scratch would give, in any order of arrival.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,6 +105,12 @@ def floor_sample(df: DataFrame, spec: SampleSpec,
     share of the sample, is ranked. So no task ever sees a whole stratum.
     """
     counts = materialize(strata_counts(df, spec.qcs))
+    return _least_rows(with_unit(df, spec), counts, spec, max_broadcast_rows)
+
+
+def _least_rows(units: DataFrame, counts: DataFrame, spec: SampleSpec, max_broadcast_rows: int) -> DataFrame:
+    """The ceil(rate * N) rows with the least u of each stratum of N rows. ``units`` may lack rows with a large u; a
+    stratum of which too few are there is an error that names it."""
     keys = list(spec.qcs)
     limits = broadcast_within(counts.select(
         *keys, STRATUM_ROWS, spec.rate().alias("__reach"),
@@ -112,7 +118,6 @@ def floor_sample(df: DataFrame, spec: SampleSpec,
         max_broadcast_rows)
     # Slices cut [0, rate) finely; what lies beyond twice the rate shares one slice.
     piece = F.least(F.floor(F.col(UNIT) / F.col("__reach") * SLICES), F.lit(2 * SLICES))
-    units = with_unit(df, spec)
     placed = null_safe_join(units, limits, keys).withColumn("__slice", piece)
     sizes = placed.groupBy(*keys, "__slice").agg(
         F.count(F.lit(1)).alias("__n"), F.first("__wanted").alias("__wanted"))
@@ -124,7 +129,11 @@ def floor_sample(df: DataFrame, spec: SampleSpec,
             .select(*keys, F.col("__slice").alias("__cut"),
                     (F.col("__wanted") - F.col("__total") + F.col("__n")).alias("__left")))
     cuts = broadcast_within(materialize(cuts), max_broadcast_rows)
-    near = null_safe_join(placed, cuts, keys).where(F.col("__slice") <= F.col("__cut"))
+    short = F.raise_error(F.concat(
+        F.lit("too few rows of the stratum "), F.to_json(F.struct(*keys)))).cast("boolean")
+    # one condition, since a second one on the cut would turn the join into an inner one
+    near = null_safe_join(placed, cuts, keys, "left").where(
+        F.when(F.col("__cut").isNull(), short).otherwise(F.col("__slice") <= F.col("__cut")))
     place = Window.partitionBy(*keys).orderBy(UNIT, *spec.key)
     edge = (near.where(F.col("__slice") == F.col("__cut"))
             .withColumn("__place", F.row_number().over(place))
@@ -146,3 +155,27 @@ def sample_maintain(kept: DataFrame, counts: DataFrame, batch: DataFrame, spec:
     rows = kept.drop(RATE, WEIGHT).unionByName(with_unit(batch, spec))
     return thin(rows, broadcast_within(new_counts, max_broadcast_rows), spec,
                 complete=True), new_counts
+
+
+RESERVE, RESERVE_ROWS = 2.0, 60
+
+
+def reserve_of(spec: SampleSpec) -> SampleSpec:
+    """The wider sample from which ``floor_from_reserve`` takes a hard minimum.
+
+    It expects twice the wanted rows of a stratum and ``RESERVE_ROWS`` more, so that fewer than wanted
+    are there with a chance below one in a million.
+    """
+    return replace(spec, fraction=min(1.0, RESERVE * spec.fraction),
+                   min_rows=int(RESERVE * spec.min_rows) + RESERVE_ROWS)
+
+
+def floor_from_reserve(reserve: DataFrame, counts: DataFrame, spec: SampleSpec,
+                       max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``floor_sample``, from a sample of ``reserve_of(spec)`` that is kept up to date.
+
+    The reserve holds all rows of a stratum below its rate, so the wanted rows with the least u are among them
+    if it has that many. A stratum whose reserve is too small is an error that names it, never a smaller
+    sample; it has to be sampled anew. ``counts`` should be stored, and the base is not read.
+    """
+    return _least_rows(reserve.drop(RATE, WEIGHT), counts, spec, max_broadcast_rows)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bidlens.operators.sampling import (
-    UNIT, SampleSpec, add_counts, strata_counts, thin, with_unit,
+    UNIT, SampleSpec, add_counts, floor_from_reserve, reserve_of, strata_counts, thin, with_unit,
 )
 from bidlens.operators.sizing import MAX_BROADCAST_ROWS, broadcast_within
 from bidlens.operators.storage import upsert_partitioned
@@ -170,3 +170,10 @@ def read_sample(spark: SparkSession, root: str, spec: SampleSpec,
     rows = _committed(spark, root, "sample", last)
     totals = broadcast_within(_totals(spark, root, last), max_broadcast_rows)
     return thin(rows, totals, spec, complete=True)
+
+
+def read_floor_sample(spark: SparkSession, root: str, spec: SampleSpec) -> DataFrame:
+    """The sample with a hard minimum, equal to ``floor_sample`` of all base rows, of a stream that was started with
+    ``ingest_with_sample(..., reserve_of(spec), ...)``."""
+    reserve = read_sample(spark, root, reserve_of(spec))
+    return floor_from_reserve(reserve, _totals(spark, root, last_batch(spark, root)), spec)

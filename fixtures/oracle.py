@@ -6,6 +6,8 @@ EXISTS and NOT EXISTS as such, and no pre-aggregation.
 
 from __future__ import annotations
 
+import re
+
 from fixtures.views import with_views
 
 SKEY = "((s_w_id * s_i_id) % (SELECT count(*) FROM supplier))"
@@ -327,3 +329,25 @@ def estimate_oracle(group: str, y: str, name: str, where: str = "") -> str:
             f"round({Z95} * sqrt(sum(sample_weight * (sample_weight - 1) * {y} * {y})) "
             f"/ sum(sample_weight * {y}), 6) AS {name}_error, count(*) AS sample_rows "
             f"FROM sample {where}{tail}")
+
+
+def stepped_oracle(group: str, y: str, name: str, limit: float, steps: list[tuple], qcs: str) -> str:
+    """The estimate of the first of some samples, ``(sample, fraction, minimum)`` each, that is within the limit in
+    every group; from all rows if none is. Top 20."""
+    ctes, chosen = [], []
+    for i, (sample, fraction, floor) in enumerate(steps):
+        text = sample_ctes(qcs, fraction, floor)
+        for cte in ("strata", "rated", "units", "sample"):
+            text = re.sub(rf"\b{cte}\b", f"{cte}{i}", text)
+        ctes += [text, f"""e{i} AS (SELECT {group}, sum(sample_weight * {y}) AS total,
+            {Z95} * sqrt(sum(sample_weight * (sample_weight - 1) * {y} * {y})) / sum(sample_weight * {y}) AS err,
+            count(*) AS sample_rows, '{sample}' AS answered_by FROM sample{i} GROUP BY {group})"""]
+        chosen.append(f"WHEN (SELECT max(err) FROM e{i}) <= {limit} THEN {i}")
+    n = len(steps)
+    ctes.append(f"""e{n} AS (SELECT {group}, sum({y}) AS total, 0.0::double AS err, NULL::bigint AS sample_rows,
+        'base' AS answered_by FROM impressions GROUP BY {group})""")
+    ctes.append(f"pick AS (SELECT CASE {' '.join(chosen)} ELSE {n} END AS k)")
+    every = " UNION ALL ".join(f"SELECT e{i}.* FROM e{i}, pick WHERE k = {i}" for i in range(n + 1))
+    return with_views(
+        f"SELECT {group}, round(total, 6) AS {name}, round(err, 6) AS {name}_error, sample_rows, answered_by "
+        f"FROM ({every}) ORDER BY round(total, 6) DESC, {group} LIMIT 20", "impressions", extra=",\n".join(ctes))

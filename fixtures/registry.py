@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidlens.operators import approx, rollup, sampling, snapshot, storage, uniques
+from bidlens.operators import approx, catalog, rollup, sampling, snapshot, storage, uniques
 from bidlens.plans import ads, clicks, mixed
 from bidlens.sources import payloads, streams, tables
 from bidlens.sources.schemas import CLICK, IMPRESSION_MESSAGE
@@ -18,7 +18,8 @@ from bidlens.sources.workspace import work_dir
 from bidlens.streaming import continuous, ingest, stateful
 from fixtures.encode import as_messages, payloads as encoded
 from fixtures.oracle import (
-    AGG, ad_oracles, aggregate_sample_oracle, ch_oracles, click_oracles, estimate_oracle, sample_oracle, window_oracle,
+    AGG, ad_oracles, aggregate_sample_oracle, ch_oracles, click_oracles, estimate_oracle, sample_oracle, stepped_oracle,
+    window_oracle,
 )
 from fixtures.views import VIEWS, Data, with_views
 
@@ -569,6 +570,59 @@ def _fallback(d: Data) -> DataFrame:
     return got.drop("sample_rows")
 
 
+# Samples stored once per application and table, addressed by the name of the base. The limits are those that
+# the original reports ask for.
+GEO_STEPS = [("geo_3", 0.03, 50), ("geo_50", 0.5, 100)]
+PUBLISHER_STEPS = [("publisher_3", 0.03, 50)]
+_catalogs: dict[tuple[str, str], tuple[str, list]] = {}
+
+
+def _catalog(d: Data) -> tuple[str, list]:
+    key = (d.spark.sparkContext.applicationId, d.sf_dir)
+    if key not in _catalogs:
+        root = work_dir(d.spark, "catalog")
+        for column, steps in (("geo", GEO_STEPS), ("publisher", PUBLISHER_STEPS)):
+            for name, fraction, least in steps:
+                catalog.add_sample(d.impressions, root, "impressions", name, sampling.SampleSpec(
+                    (column,), fraction, least, ("event_id",), portable=True))
+        _catalogs[key] = root, catalog.samples_of(d.spark, root, "impressions")
+    return _catalogs[key]
+
+
+def _by_name(entry: str, group: str | None, name: str, spec: tuple, limit: float, oracle: str) -> None:
+    def build(d: Data) -> DataFrame:
+        keys = [group] if group else []
+        root, samples = _catalog(d)
+        got = catalog.answer(d.spark, root, "impressions", keys, {name: spec}, limit,
+                             base=d.impressions, on_violation="exact", samples=samples)
+        got = got.select(*keys, F.round(name, 6).alias(name), F.round(f"{name}_error", 6).alias(f"{name}_error"),
+                         "sample_rows", *(["answered_by"] if keys else []))
+        return got.orderBy(F.desc(name), *keys).limit(20) if keys else got
+
+    register(entry, oracle)(build)
+
+
+_by_name("aqp_named_count_by_geo", "geo", "ad_count", ("count",), 0.1, with_views(
+    "SELECT geo, count(*)::double AS ad_count, 0.0::double AS ad_count_error, NULL::bigint AS sample_rows, "
+    "'strata of geo_3' AS answered_by FROM impressions GROUP BY geo ORDER BY ad_count DESC, geo LIMIT 20", "impressions"))
+_by_name("aqp_named_sum_by_geo", "geo", "sum_bid", ("sum", "bid"), 0.1,
+         stepped_oracle("geo", "bid::double", "sum_bid", 0.1, GEO_STEPS, "geo"))
+_by_name("aqp_named_count", None, "sample_cnt", ("count",), 0.1, with_views(
+    "SELECT count(*)::double AS sample_cnt, 0.0::double AS sample_cnt_error, NULL::bigint AS sample_rows "
+    "FROM impressions", "impressions"))
+_by_name("aqp_named_sum_by_pub", "publisher", "sum_bid", ("sum", "bid"), 0.5,
+         stepped_oracle("publisher", "bid::double", "sum_bid", 0.5, PUBLISHER_STEPS, "publisher"))
+
+
+@register("ingest_floor_sample", ORACLES["stratified_sample_floor"])
+def _ingest_floor(d: Data) -> DataFrame:
+    path, home = _staged(d), work_dir(d.spark, "floor-sample")
+    rows = streams.replay_stream(d.spark, path, d.spark.read.parquet(path).schema, 1)
+    ingest.ingest_with_sample(rows, f"{home}/tables", sampling.reserve_of(BY_GEO),
+                              f"{home}/checkpoint").awaitTermination()
+    return ingest.read_floor_sample(d.spark, f"{home}/tables", BY_GEO).select("event_id", "geo")
+
+
 @register("aqp_count_from_strata", with_views(
     "SELECT geo, cast(count(*) AS bigint) AS rows FROM impressions GROUP BY geo", "impressions"))
 def _strata(d: Data) -> DataFrame:
