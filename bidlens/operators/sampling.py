@@ -108,9 +108,10 @@ def floor_sample(df: DataFrame, spec: SampleSpec,
     return _least_rows(with_unit(df, spec), counts, spec, max_broadcast_rows)
 
 
-def _least_rows(units: DataFrame, counts: DataFrame, spec: SampleSpec, max_broadcast_rows: int) -> DataFrame:
-    """The ceil(rate * N) rows with the least u of each stratum of N rows. ``units`` may lack rows with a large u; a
-    stratum of which too few are there is an error that names it."""
+def _least_rows(units: DataFrame, counts: DataFrame, spec: SampleSpec, max_broadcast_rows: int,
+                whole: bool = True) -> DataFrame:
+    """The ceil(rate * N) rows with the least u of each stratum of N rows. If ``units`` are not the ``whole`` table but lack rows
+    with a large u, a stratum of which too few are there is an error that names it."""
     keys = list(spec.qcs)
     limits = broadcast_within(counts.select(
         *keys, STRATUM_ROWS, spec.rate().alias("__reach"),
@@ -128,12 +129,13 @@ def _least_rows(units: DataFrame, counts: DataFrame, spec: SampleSpec, max_broad
                    & (F.col("__total") - F.col("__n") < F.col("__wanted")))
             .select(*keys, F.col("__slice").alias("__cut"),
                     (F.col("__wanted") - F.col("__total") + F.col("__n")).alias("__left")))
-    cuts = broadcast_within(materialize(cuts), max_broadcast_rows)
-    short = F.raise_error(F.concat(
-        F.lit("too few rows of the stratum "), F.to_json(F.struct(*keys)))).cast("boolean")
-    # one condition, since a second one on the cut would turn the join into an inner one
-    near = null_safe_join(placed, cuts, keys, "left").where(
-        F.when(F.col("__cut").isNull(), short).otherwise(F.col("__slice") <= F.col("__cut")))
+    cuts = materialize(cuts)
+    if not whole:
+        lost = null_safe_join(limits.where("__wanted > 0"), cuts.select(*keys), keys, "left_anti").limit(1).collect()
+        if lost:
+            raise ValueError(f"too few rows of the stratum {[lost[0][k] for k in keys]}: sample it anew")
+    near = null_safe_join(placed, broadcast_within(cuts, max_broadcast_rows), keys).where(
+        F.col("__slice") <= F.col("__cut"))
     place = Window.partitionBy(*keys).orderBy(UNIT, *spec.key)
     edge = (near.where(F.col("__slice") == F.col("__cut"))
             .withColumn("__place", F.row_number().over(place))
@@ -178,4 +180,4 @@ def floor_from_reserve(reserve: DataFrame, counts: DataFrame, spec: SampleSpec,
     if it has that many. A stratum whose reserve is too small is an error that names it, never a smaller
     sample; it has to be sampled anew. ``counts`` should be stored, and the base is not read.
     """
-    return _least_rows(reserve.drop(RATE, WEIGHT), counts, spec, max_broadcast_rows)
+    return _least_rows(reserve.drop(RATE, WEIGHT), counts, spec, max_broadcast_rows, whole=False)
