@@ -821,3 +821,29 @@ def _snapshot_incremental(d: Data) -> DataFrame:
 def _snapshot_restore(d: Data) -> DataFrame:
     folder, _ = _incremental(d)
     return snapshot.restore_table(d.spark, folder, "orders")
+
+
+# Order lines and orders stored in the same buckets, once per application and table.
+ORDER_BUCKETS = 8
+_bucketed_tables: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def bucketed_orders(d: Data) -> mixed.MixedTables:
+    key = (d.spark.sparkContext.applicationId, d.sf_dir)
+    if key not in _bucketed_tables:
+        names = {}
+        for table, keys in (("order_line", mixed.ORDER_KEY.keys()), ("orders", mixed.ORDER_KEY.values())):
+            names[table] = f"{table}_{uuid.uuid4().hex}"
+            storage.store_bucketed(d[f"ch_{table}"], names[table], list(keys), ORDER_BUCKETS,
+                                   work_dir(d.spark, f"bucketed-{table}"))
+        _bucketed_tables[key] = names
+    stored = {t: d.spark.table(n) for t, n in _bucketed_tables[key].items()}
+    given = d.mixed()
+    others = {t: getattr(given, t) for t in mixed.TABLE_NAMES if t not in stored}
+    return mixed.MixedTables(**stored, **others, supplier_modulus=given.supplier_modulus)
+
+
+register("ch_12_bucketed", ORACLES["ch_12_priority_lines"])(
+    lambda d: mixed.ch_query(bucketed_orders(d), 12, delivered_before="2001-01-01"))
+register("ch_21_bucketed", ORACLES["ch_21_waiting_suppliers"])(
+    lambda d: mixed.ch_query(bucketed_orders(d), 21, nation="NATION_15"))
