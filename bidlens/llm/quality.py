@@ -13,14 +13,14 @@ held-out perplexities: trusted documents are dealt into ``FOLDS`` folds by their
 scored by a model of the other folds as well. A language with fewer than ``MIN_TRUSTED`` different
 trusted texts so scored has no limit, and all its documents are kept.
 
-Models go by the name of their language behind one character: ``ALL`` for the model of all
-folds, the number of a fold for the model without it.
+A language has ``MODELS`` models: number 0 is trained on all folds, number k + 1 on all but fold k. They
+are counted, joined and sent back side by side, as arrays with one place for each model, so that an
+n-gram of a shard is one row however many models have to score it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ BROADCAST_IDS = 2_000_000
 UPPER, SPREAD = 0.95, 3.0
 #: Folds of trusted documents (one digit), and how many different held-out texts set a limit.
 FOLDS, MIN_TRUSTED = 5, 10
-ALL = "*"
+MODELS = FOLDS + 1
 #: Two starts of text precede each document; a code point has 21 bits.
 START, BITS = 0, 21
 
@@ -80,59 +80,72 @@ def _parts(texts: list[str], chosen: list[int]) -> Iterator[list[int]]:
         yield part
 
 
-def _add(sums: dict, lang: str, gram: np.ndarray, n: np.ndarray) -> None:
-    """Adds counts of n-grams to those of a language."""
-    if lang in sums:
-        gram, at = np.unique(np.concatenate([sums[lang][0], gram]), return_inverse=True)
-        n = np.bincount(at, weights=np.concatenate([sums[lang][1], n]), minlength=len(gram)).astype(np.int64)
-    sums[lang] = gram, n
+def _add(sums: dict, key: tuple, gram: np.ndarray, n: np.ndarray) -> None:
+    """Adds counts of n-grams to those of a key."""
+    if key in sums:
+        gram, at = np.unique(np.concatenate([sums[key][0], gram]), return_inverse=True)
+        n = np.bincount(at, weights=np.concatenate([sums[key][1], n]), minlength=len(gram)).astype(np.int64)
+    sums[key] = gram, n
 
 
-def _by_language(texts: list[str], langs: list[str], sums: dict) -> None:
-    for lang in sorted(set(langs)):
-        for part in _parts(texts, [i for i, x in enumerate(langs) if x == lang]):
+def _by_key(texts: list[str], keys: list[tuple | None], sums: dict) -> None:
+    for key in set(keys) - {None}:
+        for part in _parts(texts, [i for i, x in enumerate(keys) if x == key]):
             found, _ = grams([texts[i] for i in part])
-            _add(sums, lang, *np.unique(found, return_counts=True))
+            _add(sums, key, *np.unique(found, return_counts=True))
+
+
+def _of_fold(folds: list[int | None], langs: list[str]) -> list[tuple | None]:
+    """For trusted documents the model without their fold, and their language."""
+    return [None if fold is None else (fold + 1, lang) for fold, lang in zip(folds, langs)]
 
 
 def _count(batches):
     """Per task: the n-grams of trusted text of each language and fold with their counts."""
-    sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    sums: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}
     for batch in slices(batches):
-        _by_language(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sums)
-    for lang, (gram, n) in sums.items():
+        texts, langs, folds = (batch.column(i).to_pylist() for i in range(3))
+        _by_key(texts, list(zip(folds, langs)), sums)
+    for (fold, lang), (gram, n) in sums.items():
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n, pa.int64())],
-            ["lang", "gram", "n"])
+            [pa.array([lang] * len(gram), pa.string()), pa.array(np.full(len(gram), fold, np.int32)),
+             pa.array(gram), pa.array(n, pa.int64())], ["lang", "fold", "gram", "n"])
 
 
 def _held(table: pa.Table) -> pa.Table:
-    """Per shard: the distinct n-grams that each model has to score."""
+    """Per shard: its distinct n-grams, and as bits of ``models`` which models have to score each."""
     _, texts, langs, folds = _columns(table)
     shard, sums = table.column("shard")[0].as_py(), {}
-    _by_language(texts, [ALL + x for x in langs], sums)
-    out = [i for i, fold in enumerate(folds) if fold is not None]
-    _by_language([texts[i] for i in out], [folds[i] + langs[i] for i in out], sums)
-    return pa.concat_tables([
-        pa.table({"shard": pa.array(np.full(len(gram), shard, np.int64)),
-                  "lang": pa.array([lang] * len(gram), pa.string()), "gram": pa.array(gram)})
-        for lang, (gram, _) in sums.items()])
-
-
-def _means(texts: list[str], models: list[str | None], scored: pa.Table) -> list[float | None]:
-    """The mean of minus log probability over each text's characters, by the text's model."""
+    _by_key(texts, [(0, lang) for lang in langs], sums)
+    _by_key(texts, _of_fold(folds, langs), sums)
+    out = []
+    for lang in set(langs):
+        gram = sums[0, lang][0]
+        bits = np.ones(len(gram), np.int32)
+        for k in range(1, MODELS):
+            if (k, lang) in sums:
+                bits[np.searchsorted(gram, sums[k, lang][0])] |= 1 << k
+        out.append(pa.table({"shard": pa.array(np.full(len(gram), shard, np.int64)),
+                             "lang": pa.array([lang] * len(gram), pa.string()), "gram": pa.array(gram),
+                             "models": pa.array(bits)}))
+    return pa.concat_tables(out)
+
+
+def _means(texts: list[str], models: list[tuple | None], scored: pa.Table) -> list[float | None]:
+    """The mean of minus log probability over each text's characters, by the text's model and language."""
     of_row = np.array(scored.column("lang").to_pylist(), object)
-    gram, logp = scored.column("gram").to_numpy(), scored.column("logp").to_numpy()
+    gram, logp = scored.column("gram").to_numpy(), scored.column("logp").combine_chunks()
+    logp = logp.flatten().to_numpy(zero_copy_only=False).reshape(-1, MODELS)
     means: list[float | None] = [None] * len(texts)
     for model in set(models) - {None}:
-        at = np.flatnonzero(of_row == model)
+        at = np.flatnonzero(of_row == model[1])
         order = at[np.argsort(gram[at], kind="stable")]
-        if not len(order):
+        known, value = gram[order], logp[order, model[0]].astype(np.float64)
+        if np.isnan(value).all():  # no such language, or all its trusted text is in the fold left out
             continue
         for mine in _parts(texts, [i for i, x in enumerate(models) if x == model]):
             found, ends = grams([texts[i] for i in mine])
-            where = np.searchsorted(gram[order], found)
-            sums = np.concatenate([[0.0], np.cumsum(logp[order][where])])
+            sums = np.concatenate([[0.0], np.cumsum(value[np.searchsorted(known, found)])])
             for i, a, b in zip(mine, ends[:-1].tolist(), ends[1:].tolist()):
                 if b > a:
                     means[i] = -float(sums[b] - sums[a]) / (b - a)
@@ -142,72 +155,101 @@ def _means(texts: list[str], models: list[str | None], scored: pa.Table) -> list
 def _score(left: pa.Table, right: pa.Table) -> pa.Table:
     """Per shard: each document's log perplexity, and its held-out one if it is trusted."""
     ids, texts, langs, folds = _columns(left)
-    means = _means(texts, [ALL + x for x in langs], right)
-    held_out = _means(texts, [None if f is None else f + x for f, x in zip(folds, langs)], right)
+    means = _means(texts, [(0, lang) for lang in langs], right)
+    held_out = _means(texts, _of_fold(folds, langs), right)
     return pa.table({"doc_id": pa.array(ids, pa.int64()), "lang": pa.array(langs, pa.string()),
                      "log_perplexity": pa.array(means, pa.float64()),
                      "held_out": pa.array(held_out, pa.float64())})
 
 
-def _discounts(counts: DataFrame, order: int) -> DataFrame:
-    """``lang, d1, d2, d3``: the discounts of counts 1, 2 and more of one order."""
-    n = [F.sum((F.col("n") == k).cast("double")).alias(f"n{k}") for k in (1, 2, 3, 4)]
-    y = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1.0))
+def _each(of: Callable[[int], Column]) -> Column:
+    """An array with a place for each model."""
+    return F.array(*map(of, range(MODELS)))
+
 
-    def d(k: int) -> Column:
-        raw = k - (k + 1) * y * F.col(f"n{k + 1}") / F.greatest(F.col(f"n{k}"), F.lit(1.0))
-        return F.greatest(F.lit(0.05), F.least(F.lit(float(k)), raw)).alias(f"d{k}_{order}")
+def _continued(counts: DataFrame, on: list[str]) -> DataFrame:
+    """In how many contexts the last parts ``on`` of n-grams occur."""
+    return counts.groupBy("lang", *on).agg(
+        _each(lambda m: F.sum((F.col("n")[m] > 0).cast("long"))).alias("n"))
 
-    return counts.groupBy("lang").agg(*n).select("lang", d(1), d(2), d(3))
 
+def _discounts(counts: DataFrame) -> DataFrame:
+    """``lang, d``: for each model the discounts of counts 1, 2 and more."""
+    found = counts.groupBy("lang").agg(*[
+        F.sum((F.col("n")[m] == k).cast("double")).alias(f"n{k}_{m}")
+        for k in (1, 2, 3, 4) for m in range(MODELS)])
 
-def _discount(n: Column, order: int) -> Column:
-    return (F.when(n.isNull() | (n == 0), 0.0).when(n == 1, F.col(f"d1_{order}"))
-            .when(n == 2, F.col(f"d2_{order}")).otherwise(F.col(f"d3_{order}")))
+    def d(k: int, m: int) -> Column:
+        n = {j: F.col(f"n{j}_{m}") for j in (1, 2, 3, 4)}
+        y = n[1] / F.greatest(n[1] + 2 * n[2], F.lit(1.0))
+        raw = k - (k + 1) * y * n[k + 1] / F.greatest(n[k], F.lit(1.0))
+        return F.greatest(F.lit(0.05), F.least(F.lit(float(k)), raw))
 
+    return found.select("lang", _each(lambda m: F.array(*[d(k, m) for k in (1, 2, 3)])).alias("d"))
 
-def _contexts(counts: DataFrame, on: list[str], order: int) -> DataFrame:
-    """Per context its sum and how many of its continuations have count 1, 2 and more."""
-    n = F.col("n")
-    return counts.groupBy("lang", *on).agg(
-        F.sum("n").alias(f"sum_{order}"), F.sum((n == 1).cast("long")).alias(f"c1_{order}"),
-        F.sum((n == 2).cast("long")).alias(f"c2_{order}"),
-        F.sum((n > 2).cast("long")).alias(f"c3_{order}"))
+
+def _shares(counts: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """What an order gives: ``kept`` of each n-gram, the share of its discounted count in its context
+    ``on``, and ``back`` of each context, the share that goes to the order below. ``back`` is null where
+    a model has not seen the context."""
+    n, d = F.col("n"), F.col("d")
+    counts = counts.join(_discounts(counts), "lang")
+
+    def freed(m: int) -> Column:
+        return F.sum(F.when(n[m] == 0, 0.0).when(n[m] == 1, d[m][0]).when(n[m] == 2, d[m][1])
+                     .otherwise(d[m][2]))
+
+    contexts = counts.groupBy("lang", *on).agg(
+        _each(lambda m: F.sum(n[m])).alias("total"), _each(freed).alias("freed"))
+    total = F.col("total")
+    backs = contexts.select("lang", *on, _each(
+        lambda m: F.when(total[m] > 0, F.col("freed")[m] / total[m])).alias("back"))
+    kept = counts.join(contexts, ["lang", *on]).withColumn("kept", _each(lambda m: F.when(
+        n[m] > 0, (n[m] - F.when(n[m] == 1, d[m][0]).when(n[m] == 2, d[m][1]).otherwise(d[m][2])) / total[m])
+        .otherwise(0.0))).drop("n", "d", "total", "freed")
+    return kept, backs
 
 
 def probabilities(counts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted(shard, lang, gram)`` with its ``logp`` by the model of ``counts(lang, gram, n)``; no
-    rows for a language that the model does not know.
+    """``wanted(shard, lang, gram, models)`` with ``logp``, by each model of ``counts(lang, gram, n)`` among
+    the bits of ``models``; null for other models and those that do not know the language, no rows for
+    a language that none knows.
 
     Orders below the highest count in how many contexts an n-gram occurs. An unseen context
     gives the probability of the next lower order.
     """
     mask = (1 << BITS) - 1
-    parts = [F.shiftright("gram", 2 * BITS).alias("a"),
-             F.shiftright("gram", BITS).bitwiseAND(F.lit(mask)).alias("b"),
-             F.col("gram").bitwiseAND(F.lit(mask)).alias("c")]
-    three = counts.where("n > 0").select("lang", *parts, "n")
-    two = stored(three.groupBy("lang", "b", "c").agg(F.count(F.lit(1)).alias("n")), "pairs")
-    one = stored(two.groupBy("lang", "c").agg(F.count(F.lit(1)).alias("n")), "singles")
+    parts = {"a": F.shiftright("gram", 2 * BITS), "b": F.shiftright("gram", BITS).bitwiseAND(F.lit(mask)),
+             "c": F.col("gram").bitwiseAND(F.lit(mask))}
+    three = counts.withColumns(parts)
+    two = stored(_continued(three, ["b", "c"]), "pairs")
+    one = stored(_continued(two, ["c"]), "singles")
+    kept_3, back_3 = _shares(three, ["a", "b"])
+    kept_2, back_2 = _shares(two, ["b"])
+    kept_1, back_1 = _shares(one, [])
+    sizes = one.groupBy("lang").agg(
+        _each(lambda m: F.sum((F.col("n")[m] > 0).cast("long")) + 1).alias("size"))
+    unseen = stored(sizes.join(back_1, "lang").select("lang", _each(
+        lambda m: F.col("back")[m] / F.col("size")[m]).alias("unseen")), "languages")
     # Stored, the sizes of the tables are known: small ones are broadcast, others shuffled.
-    of_lang = reduce(lambda x, y: x.join(y, "lang"), [
-        *(_discounts(x, k) for k, x in ((3, three), (2, two), (1, one))), _contexts(one, [], 1),
-        one.groupBy("lang").agg((F.count(F.lit(1)) + 1).cast("double").alias("size"))])
-    rows = (wanted.select("shard", "lang", "gram", *parts)
-            .join(stored(of_lang, "languages"), "lang")
-            .join(one.withColumnRenamed("n", "n_1"), ["lang", "c"], "left")
-            .join(two.withColumnRenamed("n", "n_2"), ["lang", "b", "c"], "left")
-            .join(stored(_contexts(two, ["b"], 2), "contexts"), ["lang", "b"], "left")
-            .join(stored(_contexts(three, ["a", "b"], 3), "contexts"), ["lang", "a", "b"], "left")
-            .join(three.withColumnRenamed("n", "n_3"), ["lang", "a", "b", "c"], "left"))
-    p: Column = 1 / F.col("size")
-    for k in (1, 2, 3):
-        n, total = F.col(f"n_{k}"), F.col(f"sum_{k}").cast("double")
-        kept = (F.coalesce(n, F.lit(0)) - _discount(n, k)) / total
-        back = sum((F.col(f"d{j}_{k}") * F.col(f"c{j}_{k}") for j in (2, 3)),
-                   F.col(f"d1_{k}") * F.col(f"c1_{k}")) / total
-        p = F.when(total.isNull(), p).otherwise(kept + back * p)
-    return rows.select("shard", "lang", "gram", F.log(p).alias("logp"))
+    # Trigrams come first, while the rows that may have to be shuffled for them are narrow.
+    rows = (wanted
+            .join(stored(kept_3.select("lang", "gram", F.col("kept").alias("kept_3")), "trigrams"),
+                  ["lang", "gram"], "left").withColumns(parts)
+            .join(stored(back_3.withColumnRenamed("back", "back_3"), "contexts"), ["lang", "a", "b"], "left")
+            .join(stored(kept_2.withColumnRenamed("kept", "kept_2"), "bigrams"), ["lang", "b", "c"], "left")
+            .join(stored(back_2.withColumnRenamed("back", "back_2"), "contexts"), ["lang", "b"], "left")
+            .join(stored(kept_1.withColumnRenamed("kept", "kept_1"), "unigrams"), ["lang", "c"], "left")
+            .join(unseen, "lang"))
+
+    def logp(m: int) -> Column:
+        p = F.coalesce(F.col("kept_1")[m], F.lit(0.0)) + F.col("unseen")[m]
+        for k in (2, 3):
+            back = F.col(f"back_{k}")[m]
+            p = F.when(back.isNull(), p).otherwise(F.coalesce(F.col(f"kept_{k}")[m], F.lit(0.0)) + back * p)
+        return F.when(F.col("models").bitwiseAND(F.lit(1 << m)) != 0, F.log(p))
+
+    return rows.select("shard", "lang", "gram", _each(logp).alias("logp"))
 
 
 def with_folds(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -216,19 +258,16 @@ def with_folds(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     good = trusted.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("good")).distinct()
     if good.count() <= BROADCAST_IDS:
         good = F.broadcast(good)
-    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("string")
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")
     return docs.join(good, "doc_id", "left").withColumn("fold", F.when(F.col("good"), fold)).drop("good")
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """``lang, gram, n`` of each model over the rows that have a fold."""
-    folds = rows.where("fold IS NOT NULL").select("text", F.concat("fold", "lang").alias("lang"))
-    folds = stored(folds.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
-        F.sum("n").alias("n")), "fold-counts")
-    models = F.array(*map(F.lit, [ALL, *map(str, range(FOLDS))]))
-    return folds.select(F.explode(F.array_except(models, F.array(F.substring("lang", 1, 1)))).alias("model"),
-                        F.expr("substring(lang, 2)").alias("lang"), "gram", "n").groupBy(
-        F.concat("model", "lang").alias("lang"), "gram").agg(F.sum("n").alias("n"))
+    """``lang, gram, n`` over the rows that have a fold; ``n`` has a place for each model."""
+    folds = rows.where("fold IS NOT NULL").select("text", "lang", "fold")
+    found = folds.mapInArrow(_count, "lang string, fold int, gram long, n long")
+    return found.groupBy("lang", "gram").agg(_each(lambda m: F.sum(
+        F.when(F.col("fold") != m - 1, F.col("n")).otherwise(F.lit(0)))).alias("n"))
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -243,7 +282,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     shards = max(8, size // SHARD_BYTES)
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     rows = rows.withColumn("shard", F.pmod(key, F.lit(shards)).cast("long"))
-    held = rows.groupBy("shard").applyInArrow(_held, "shard long, lang string, gram long")
+    held = rows.groupBy("shard").applyInArrow(_held, "shard long, lang string, gram long, models int")
     scored = probabilities(counts, held)
     return rows.groupBy("shard").cogroup(scored.groupBy("shard")).applyInArrow(
         _score, "doc_id long, lang string, log_perplexity double, held_out double")
