@@ -331,6 +331,21 @@ def estimate_oracle(group: str, y: str, name: str, where: str = "") -> str:
             f"FROM sample {where}{tail}")
 
 
+def share_oracle(part: str, replicates: int) -> str:
+    """The share of the bids that a part has, with its relative error from replicates by the bits of a digest."""
+    sums = ", ".join(
+        f"sum({y} * (sample_weight + sqrt(sample_weight * (sample_weight - 1)) * (1 - 2 * ((w{r // 32} >> {r % 32}) & 1)))) "
+        f"AS {name}{r}" for r in range(replicates) for name, y in (("p", "part"), ("a", "bid")))
+    apart = " + ".join(f"pow(coalesce(p{r} / nullif(a{r}, 0), 'nan'::double) - share, 2)" for r in range(replicates))
+    words = ", ".join(f"('0x' || substr(digest, {1 + 8 * i}, 8))::bigint AS w{i}" for i in range((replicates + 31) // 32))
+    return f"""SELECT geo, round(share, 6) AS share, round({Z95} * sqrt(({apart}) / {replicates}) / share, 6) AS share_error,
+        sample_rows FROM (SELECT geo, sum(part * sample_weight) / sum(bid * sample_weight) AS share,
+        count(*) AS sample_rows, {sums} FROM (SELECT *, {words} FROM (SELECT geo, sample_weight,
+        bid::double AS bid, CASE WHEN {part} THEN bid::double ELSE 0 END AS part,
+        md5('replicate' || length(event_id::varchar) || ':' || event_id::varchar) AS digest FROM sample))
+        GROUP BY geo) WHERE share > 0"""
+
+
 def stepped_oracle(group: str, y: str, name: str, limit: float, steps: list[tuple], qcs: str) -> str:
     """The estimate of the first of some samples, ``(sample, fraction, minimum)`` each, that is within the limit in
     every group; from all rows if none is. Top 20."""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidlens.operators import approx, catalog, rollup, sampling, snapshot, storage, uniques
+from bidlens.operators import approx, catalog, replicates, rollup, sampling, snapshot, storage, uniques
 from bidlens.plans import ads, clicks, mixed
 from bidlens.sources import payloads, streams, tables
 from bidlens.sources.schemas import CLICK, IMPRESSION_MESSAGE
@@ -18,7 +18,7 @@ from bidlens.sources.workspace import work_dir
 from bidlens.streaming import continuous, ingest, stateful
 from fixtures.encode import as_messages, payloads as encoded
 from fixtures.oracle import (
-    AGG, ad_oracles, aggregate_sample_oracle, ch_oracles, click_oracles, estimate_oracle, sample_oracle, stepped_oracle,
+    AGG, ad_oracles, aggregate_sample_oracle, ch_oracles, click_oracles, estimate_oracle, sample_oracle, share_oracle, stepped_oracle,
     window_oracle,
 )
 from fixtures.views import VIEWS, Data, with_views
@@ -560,6 +560,16 @@ def _avg(d: Data) -> DataFrame:
     return got.select("geo", F.round("avg_bid", 9).alias("avg_bid"), "sample_rows")
 
 
+@register("aqp_share_by_geo", sample_oracle(share_oracle("publisher = 'publisher11'", 64)))
+def _share(d: Data) -> DataFrame:
+    totals = {"part": F.when(F.col("publisher") == "publisher11", F.col("bid")), "whole": F.col("bid")}
+    got = replicates.replicate_aggregate(
+        sampling.stratified_sample(d.impressions, BY_GEO), ["geo"], totals,
+        {"share": lambda t: F.try_divide(t["part"], t["whole"])}, ["event_id"])
+    shown = [F.round(c, 6).alias(c) for c in ("share", "share_error")]
+    return got.where("share > 0").select("geo", *shown, "sample_rows")
+
+
 @register("aqp_exact_fallback", with_views(
     "SELECT geo, count(*)::double AS ad_count, 0.0::double AS ad_count_error "
     "FROM impressions GROUP BY geo", "impressions"))
