@@ -17,7 +17,6 @@ of bias, so its error is not measured here; see ``uniques`` and ``sketches``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,9 +82,10 @@ def replicate_aggregate(sample: DataFrame, group_by: list[str], totals: dict[str
     z, shown = z_score(confidence), []
     for name, result in results.items():
         value = result({t: F.col(t) for t in totals})
-        apart = [result({t: F.col(t) + F.col(f"{t}_apart")[r] for t in totals}) - value
-                 for r in range(replicates)]
-        variance = reduce(lambda x, y: x + y, [a * a for a in apart]) / replicates
+        # as a function of the replicate's number, so that the plan does not grow with their count
+        squares = F.transform(F.sequence(F.lit(0), F.lit(replicates - 1)), lambda r: F.pow(
+            result({t: F.col(t) + F.get(f"{t}_apart", r) for t in totals}) - value, F.lit(2.0)))
+        variance = F.aggregate(squares, F.lit(0.0), lambda x, y: x + y) / replicates
         bound = F.when(variance == 0, 0.0).otherwise(F.try_divide(z * F.sqrt(variance), F.abs(value)))
         bound = F.when(value.isNotNull(), F.coalesce(bound, F.lit(float("inf"))))
         shown += [value.alias(name), bound.alias(f"{name}_error")]
