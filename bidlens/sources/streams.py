@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from bidlens.sources.payloads import decode_payloads, split_rejects, to_impressions
 from bidlens.sources.schemas import IMPRESSION, IMPRESSION_MESSAGE
+from bidlens.sources.segments import queue_segments
 
 OFFSETS = ("earliest", "latest")
 
@@ -40,6 +41,8 @@ def read_impressions(spark: SparkSession, source: str | dict[str, str], format:
       * ``landed``: ``source`` is a folder of Parquet files with a binary
         ``payload`` column, as a queue's sink connector writes them.
       * ``segments``: ``source`` is a folder of raw files of records back to back.
+      * ``queue``: ``source`` holds the folder of a queue's indexed segments under ``path`` and a folder
+        for offsets under ``progress``; ``max_per_trigger`` is records per partition (see ``segments``).
       * ``parquet``, ``orc``, ``json``: files that already hold impression rows.
     ``rejects`` says what becomes of unreadable payloads: ``fail`` stops the stream at the first,
     ``keep`` returns a row with ``decode_error`` for each, and that column null for others, so
@@ -53,6 +56,8 @@ def read_impressions(spark: SparkSession, source: str | dict[str, str], format:
                .options(**kafka_options(options.pop("brokers"), options.pop("topics"),
                                         starting, max_per_trigger, **options)).load())
         messages = raw.select(F.col("value").alias("payload"))
+    elif format == "queue":
+        messages = queue_segments(spark, source["path"], source["progress"], max_per_trigger).select("payload")
     else:
         reader = spark.readStream
         if max_per_trigger is not None:

@@ -7,6 +7,7 @@ import sys
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +17,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TEXT_FIELDS = ("publisher", "advertiser", "website", "geo")
 
 
-def as_messages(impressions: DataFrame) -> DataFrame:
+def as_messages(impressions: DataFrame, *others) -> DataFrame:
     """Impressions with the message's columns: epoch milliseconds and a double bid."""
     return impressions.select(
+        *others,
         F.unix_millis(F.col("time_stamp").cast("timestamp")).alias("timestamp"),
         *TEXT_FIELDS, F.col("bid").cast("double").alias("bid"), "cookie")
 
@@ -53,3 +55,39 @@ def payloads(impressions: DataFrame, per_payload: int = 1) -> DataFrame:
                 for i in range(0, len(records), per_payload)]})
 
     return as_messages(impressions).mapInPandas(encode, "payload binary")
+
+
+def write_segments(impressions: DataFrame, folder: str, partitions: int, per_segment: int) -> int:
+    """Impressions as a queue lands them: raw segments named by their first record; returns how many.
+
+    ``event_id`` deals them to queue partitions and orders them there.
+    """
+    dealt = as_messages(impressions, F.pmod("event_id", F.lit(partitions)).cast("int").alias("p"), "event_id")
+    values = (dealt.repartition(partitions, "p").sortWithinPartitions("p", "event_id")
+              .select("p", *as_messages(impressions).columns))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, root = pafs.FileSystem.from_uri(folder)
+        at, held, number = None, [], 0
+
+        def land():
+            fs.create_dir(f"{root}/partition={at}")
+            with fs.open_output_stream(f"{root}/partition={at}/{number - len(held):018d}.seg") as out:
+                out.write(b"".join(held))
+
+        written = 0
+        for batch in batches:
+            for p, *values in batch.itertuples(index=False, name=None):
+                if held and (p != at or len(held) == per_segment):
+                    land()
+                    held, written = [], written + 1
+                if p != at:
+                    at, number = p, 0
+                held.append(encode_record(*values))
+                number += 1
+        if held:
+            land()
+            written += 1
+        yield pd.DataFrame({"n": [written]})
+
+    return values.mapInPandas(write, "n long").agg(F.sum("n")).first()[0]

@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 
 from bidlens.operators import approx, catalog, replicates, rollup, sampling, snapshot, storage, uniques
 from bidlens.plans import ads, clicks, mixed
-from bidlens.sources import payloads, streams, tables
+from bidlens.sources import payloads, segments, streams, tables
 from bidlens.sources.schemas import CLICK, IMPRESSION_MESSAGE
 from bidlens.sources.workspace import work_dir
 from bidlens.streaming import continuous, ingest, stateful
-from fixtures.encode import as_messages, payloads as encoded
+from fixtures.encode import as_messages, payloads as encoded, write_segments
 from fixtures.oracle import (
     AGG, ad_oracles, aggregate_sample_oracle, ch_oracles, click_oracles, estimate_oracle, sample_oracle, share_oracle, stepped_oracle,
     window_oracle,
@@ -387,6 +387,42 @@ def _rejects(d: Data) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count("decode_error").alias("rejected"))
 
 
+QUEUE_PARTITIONS = 4
+
+
+def _queue(d: Data, per_segment: int) -> tuple[str, int]:
+    """The impressions in indexed segments of a queue, and the records of its largest partition."""
+    folder = work_dir(d.spark, "queue")
+    write_segments(d.impressions, folder, QUEUE_PARTITIONS, per_segment)
+    segments.index_segments(d.spark, folder, range_bytes=1 << 16)
+    most = d.impressions.groupBy(F.pmod("event_id", F.lit(QUEUE_PARTITIONS))).count().agg(F.max("count")).first()[0]
+    return folder, most or 0
+
+
+@register("decode_segments_split", MILLI_ROWS)
+def _split(d: Data) -> DataFrame:
+    """A segment per queue partition, each read by several tasks."""
+    folder, _ = _queue(d, 1 << 62)
+    good, _ = payloads.split_rejects(segments.decode_segments(d.spark, folder, task_bytes=1 << 18))
+    return payloads.to_impressions(good)
+
+
+@register("read_queue_segments", MILLI_ROWS)
+def _read_queue(d: Data) -> DataFrame:
+    """Three segments a partition, taken in four or five batches that do not end where segments do."""
+    size = d.impressions.count() // (3 * QUEUE_PARTITIONS) + 1
+    folder, most = _queue(d, size)
+    home = work_dir(d.spark, "queue-out")
+    rows = streams.read_impressions(d.spark, {"path": folder, "progress": f"{home}/progress"}, "queue",
+                                    max_per_trigger=most // 4 + 1)
+    query = ingest.ingest_append(rows, f"{home}/table", f"{home}/checkpoint", {"processingTime": "0 seconds"})
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return d.spark.read.parquet(f"{home}/table")
+
+
 @register("read_table", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def _read_table(d: Data) -> DataFrame:
     rows = tables.read_table(d.spark, f"{d.sf_dir}/events.parquet", "parquet")
