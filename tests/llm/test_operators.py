@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -77,6 +78,41 @@ def test_huge_documents_are_spliced_right(text):
     assert counter.huge(text, 100, 10) == counter.huge(text, 400, 40) == want
 
 
+@pytest.mark.parametrize("text", [
+    "\u4e2d\u6587\u8bcd\u5178\u6d4b\u8bd5\u7684\u662f" * 300, "x" * 5000, "ab" * 2500 + "'s" * 900, "''s" * 1500, "e\u0301" * 1500,
+    "<|endoftext|>" * 300, "\U0001f600\U0001f3fd" * 900, "7" * 3000, "Zm9vYmFyYmF6" * 400, " " * 3000, "a b c d e" + " " * 3000 + "f\n" * 900, "a" + "\u0301" * 2000])
+def test_splices_need_no_white_space(text):
+    counter = tokencount.Counter(WORD_BPE)
+    want = len(counter.library.encode(text, add_special_tokens=False).ids)
+    assert [counter.huge(text, c, o) for c, o in ((97, 7), (300, 20), (1024, 64))] == [want] * 3
+
+
+def test_random_texts_are_spliced_right():
+    counter, draw = tokencount.Counter(WORD_BPE), random.Random(5)
+    for alphabet in ("ab", "aeinrst'", "the'sS \n", "\u4e2d\u6587\u7684", "a1-.'", "\u00e9e\u0301 \uac00\u1100\u1161"):
+        for _ in range(30):
+            text = "".join(draw.choices(alphabet, k=draw.randint(200, 1500)))
+            want = len(counter.library.encode(text, add_special_tokens=False).ids)
+            assert counter.huge(text, 120, 12) == want
+
+
+def test_time_without_white_space_is_linear():
+    counter, draw = tokencount.Counter(WORD_BPE), random.Random(7)
+    text = "".join(draw.choices("\u4e2d\u6587\u8bcd\u5178\u6d4b\u8bd5\u7684\u662fabcdefgh", k=2_000_000))
+    began = time.perf_counter()
+    want = len(counter.library.encode(text, add_special_tokens=False).ids)
+    whole = time.perf_counter() - began
+    began = time.perf_counter()
+    assert counter.count([text]) == [want] and not counter.memo
+    assert time.perf_counter() - began < 3 * whole
+
+
+def test_long_runs_are_not_remembered():
+    counter = tokencount.Counter(WORD_BPE)
+    counter.count(["w" * 300 + " short", "w" * 300])
+    assert list(counter.memo) == [b"short"]
+
+
 def brute_components(fps):
     label = list(range(len(fps)))
 
