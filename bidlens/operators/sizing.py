@@ -1,4 +1,4 @@
-"""Broadcast only what has been measured."""
+"""Broadcast only what has been measured, and never what Spark cannot measure."""
 
 from __future__ import annotations
 
@@ -18,3 +18,13 @@ def broadcast_within(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataF
     if df.count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def never_broadcast(df: DataFrame) -> DataFrame:
+    """Hint a sort-merge join for a side whose size Spark underestimates.
+
+    A view that repeats rows (``explode``) counts as large as its input, and a compressed file as
+    its bytes on disk. Spark would then collect the rows in the driver to broadcast them,
+    however many they turn out to be.
+    """
+    return df.hint("merge")

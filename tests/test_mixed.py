@@ -167,6 +167,17 @@ def test_filters_and_columns_reach_the_scan(data):
     assert "l_comment" not in scan and "l_tax" not in scan
 
 
+@pytest.mark.parametrize("number, other", [(5, "ol_i_id"), (7, "ol_i_id"), (8, "ol_i_id"), (9, "ol_i_id"),
+                                           (15, "ol_i_id"), (16, "i_id"), (20, "ol_i_id"), (21, "ol_i_id")])
+@pytest.mark.parametrize("checked", [False, True])
+def test_stock_is_never_broadcast(data, number, other, checked):
+    """Stock repeats each part per warehouse, which Spark's size rule does not see."""
+    plan = mixed.ch_query(data.mixed(checked), number)._jdf.queryExecution().executedPlan().toString()
+    joins = [s for s in plan.split("\n") if "Join [" in s and "s_i_id#" in s and f"{other}#" in s.replace(
+        "s_i_id#", "")]
+    assert joins and all("SortMergeJoin" in s for s in joins)
+
+
 def test_reports_from_the_catalog(spark, tables):
     for name in mixed.TABLE_NAMES:
         getattr(tables, name).createOrReplaceTempView(name)
