@@ -1,14 +1,14 @@
-"""Windows kept as state of our own: late rows are kept, and exact uniques are there before a window closes.
+"""Windows whose late rows are kept, and exact uniques that are there before a window closes.
 
-Both functions group by window, publisher, region and a bucket of the cookie, so that a hot publisher is
-many states in many tasks. A state is read and written once per micro-batch and bucket. They need the RocksDB state
-store, which ``session.RECOMMENDED`` and ``continuous.stream_session`` set.
+``windows_with_late_rows`` keeps state of its own, since built-in windows drop late rows unseen: one state per window and
+bucket of the cookie holds the sums of all publishers and regions in it, so that the calls to the state store, which cost
+far more than a row, grow with windows and buckets and not with the keys of the report. ``early_uniques`` is made of built-in stateful
+operators alone. Both need the RocksDB state store, which ``session.RECOMMENDED`` and ``continuous.stream_session`` set.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from decimal import Decimal
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -22,7 +22,8 @@ from bidlens.streaming.continuous import state_partitions
 
 ON_TIME, LATE = "on time", "late"
 BUCKETS = 16
-KEYS = ["window_start", *PUB_GEO, "bucket"]
+#: Parts that a state may hold beyond twice those left by the last summing up.
+SLACK = 1024
 
 
 def _micros(spark: SparkSession, duration: str) -> int:
@@ -37,25 +38,29 @@ def _sum_type(df: DataFrame) -> str:
     return df.select(F.sum("bid").alias("s")).schema["s"].dataType.simpleString()
 
 
-def _keyed(stream: DataFrame, duration: str, watermark: str | None, unknown: str, buckets: int) -> DataFrame:
-    """Rows with plain numbers for window and instant, so that no row is dropped before the state sees it."""
-    rows = resolved(stream, unknown).withWatermark("time_stamp", watermark or duration)
-    width, at = _micros(stream.sparkSession, duration), F.unix_micros("time_stamp")
-    return rows.select(
-        at.alias("instant"), (at - F.pmod(at, F.lit(width))).alias("window_start"), *PUB_GEO, "bid", "cookie",
-        F.pmod(F.xxhash64("cookie"), F.lit(buckets)).cast("int").alias("bucket"))
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("cookie"), F.lit(buckets)).cast("int").alias("bucket")
 
 
-def _total(values: pd.Series):
-    """Sum and number of the bids that are not null."""
-    there = values.dropna()
-    return (sum(there.tolist(), Decimal(0)) if there.dtype == object else float(there.sum())), len(there)
+def _summed(parts: Iterable[tuple]) -> list[tuple]:
+    """``publisher, geo, first_seen, sum_bids, n_bids, imps`` once per publisher and region."""
+    sums: dict[tuple, tuple] = {}
+    for publisher, geo, first, bids, n_bids, imps in parts:
+        key = publisher, geo
+        if key in sums:
+            other, held, n, rows = sums[key]
+            first, n_bids, imps = min(first, other), n_bids + n, imps + rows
+            bids = held if bids is None else bids if held is None else held + bids
+        sums[key] = first, bids, n_bids, imps
+    return [(*key, *values) for key, values in sums.items()]
 
 
 class _Windows(StatefulProcessor):
     """Sums of a window until the watermark passes its end; rows that come after that are emitted as late.
 
-    A row is late if the watermark of its micro-batch has reached the end of its window.
+    A row is late if the watermark of its micro-batch has reached the end of its window. A micro-batch appends its sums
+    per publisher and region; once those are twice as many as after the last time, they are summed up, so that a state
+    stays within a few times its publishers and regions however many micro-batches there are.
     """
 
     def __init__(self, width: int, sum_type: str):
@@ -63,37 +68,46 @@ class _Windows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sums = handle.getValueState(
-            "sums", f"first_seen long, sum_bids {self.sum_type}, n_bids long, imps long")
-
-    def _row(self, kind: str, key, instant, bids, n_bids, imps, cookie) -> dict:
-        return {"kind": kind, "window_start": key[0], "publisher": key[1], "geo": key[2], "instant": instant,
-                "sum_bids": bids, "n_bids": n_bids, "imps": imps, "cookie": cookie}
+        self.held = handle.getValueState("held", "parts long, least long")
+        self.parts = handle.getListState(
+            "parts", f"publisher string, geo string, first_seen long, sum_bids {self.sum_type}, n_bids long, imps long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         end = -(-(key[0] + self.width) // 1000)
         if end <= timerValues.getCurrentWatermarkInMs():
             for part in rows:
-                yield pd.DataFrame([
-                    self._row(LATE, key, t, None if pd.isna(b) else b, int(not pd.isna(b)), 1, c)
-                    for t, b, c in zip(part["instant"].tolist(), part["bid"].tolist(), part["cookie"].tolist())])
+                yield pd.DataFrame({
+                    "kind": LATE, "window_start": key[0], "publisher": part["publisher"], "geo": part["geo"],
+                    "instant": part["instant"], "sum_bids": part["bid"], "n_bids": part["bid"].notna().astype("int64"),
+                    "imps": 1, "cookie": part["cookie"]})
             return
-        before = self.sums.get()
+        new: list[tuple] = []
+        for part in rows:
+            there = part["bid"].notna().tolist()
+            new = _summed([*new, *(
+                (p, g, t, b if known else None, int(known), 1) for p, g, t, b, known in zip(
+                    part["publisher"].tolist(), part["geo"].tolist(), part["instant"].tolist(),
+                    part["bid"].tolist(), there))])
+        before = self.held.get()
         if before is None:
             self.handle.registerTimer(end)
-        first, bids, n_bids, imps = before or (None, None, 0, 0)
-        for part in rows:
-            added, n = _total(part["bid"])
-            if n:
-                bids = added if bids is None else bids + added
-            first = int(part["instant"].min()) if first is None else min(first, int(part["instant"].min()))
-            n_bids, imps = n_bids + n, imps + len(part)
-        self.sums.update((first, bids, n_bids, imps))
+        held, least = before or (0, 0)
+        if held + len(new) > 2 * least + SLACK:
+            new = _summed([*self.parts.get(), *new])
+            self.parts.put(new)
+            held = least = len(new)
+        else:
+            self.parts.appendList(new)
+            held += len(new)
+        self.held.update((held, least))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        first, bids, n_bids, imps = self.sums.get()
-        self.sums.clear()
-        yield pd.DataFrame([self._row(ON_TIME, key, first, bids, n_bids, imps, None)])
+        sums = pd.DataFrame(_summed(self.parts.get()),
+                            columns=["publisher", "geo", "instant", "sum_bids", "n_bids", "imps"])
+        self.parts.clear()
+        self.held.clear()
+        yield sums.assign(kind=ON_TIME, window_start=key[0], cookie=None)[
+            ["kind", "window_start", "publisher", "geo", "instant", "sum_bids", "n_bids", "imps", "cookie"]]
 
     def close(self) -> None:
         pass
@@ -110,8 +124,12 @@ def windows_with_late_rows(stream: DataFrame, duration: str = "1 second", waterm
     is append; a late row never reopens a window.
     """
     width, kind = _micros(stream.sparkSession, duration), _sum_type(stream)
-    keyed = _keyed(stream.where("time_stamp IS NOT NULL"), duration, watermark, unknown, buckets)
-    out = keyed.groupBy(*KEYS).transformWithStateInPandas(
+    rows = resolved(stream.where("time_stamp IS NOT NULL"), unknown).withWatermark("time_stamp", watermark or duration)
+    at = F.unix_micros("time_stamp")
+    # Plain numbers for window and instant, so that no row is dropped before the state sees it.
+    keyed = rows.select(at.alias("instant"), (at - F.pmod(at, F.lit(width))).alias("window_start"), *PUB_GEO, "bid",
+                        "cookie", _bucket(buckets))
+    out = keyed.groupBy("window_start", "bucket").transformWithStateInPandas(
         _Windows(width, kind),
         f"kind string, window_start long, publisher string, geo string, instant long, sum_bids {kind}, "
         "n_bids long, imps long, cookie string", "Append", "EventTime")
@@ -128,69 +146,30 @@ def window_totals(rows: DataFrame) -> DataFrame:
         F.sum("n_bids").cast("long").alias("n_bids"), F.sum("imps").cast("long").alias("imps"))
 
 
-class _Uniques(StatefulProcessor):
-    """The distinct cookies and the sums of one bucket of a window; emits the bucket whenever it changes."""
-
-    def __init__(self, width: int, sum_type: str):
-        self.width, self.sum_type = width, sum_type
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.sums = handle.getValueState(
-            "sums", f"first_seen long, sum_bids {self.sum_type}, n_bids long, imps long")
-        self.cookies = handle.getListState("cookies", "cookie string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        end = -(-(key[0] + self.width) // 1000)
-        if end <= timerValues.getCurrentWatermarkInMs():
-            return
-        before = self.sums.get()
-        if before is None:
-            self.handle.registerTimer(end)
-        first, bids, n_bids, imps = before or (None, None, 0, 0)
-        known = {c for c, in self.cookies.get()} if before is not None else set()
-        new: dict[str, None] = {}
-        for part in rows:
-            added, n = _total(part["bid"])
-            if n:
-                bids = added if bids is None else bids + added
-            first = int(part["instant"].min()) if first is None else min(first, int(part["instant"].min()))
-            n_bids, imps = n_bids + n, imps + len(part)
-            new.update(dict.fromkeys(c for c in part["cookie"].dropna().tolist() if c not in known))
-        if new:
-            self.cookies.appendList([(c,) for c in new])
-        self.sums.update((first, bids, n_bids, imps))
-        yield pd.DataFrame([{
-            "window_start": key[0], "publisher": key[1], "geo": key[2], "bucket": key[3], "first_seen": first,
-            "sum_bids": bids, "n_bids": n_bids, "imps": imps, "uniques": len(known) + len(new)}])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.sums.clear()
-        self.cookies.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
 def early_uniques(stream: DataFrame, duration: str = "1 second", watermark: str | None = None,
                   unknown: str = UNKNOWN_GEO, buckets: int = BUCKETS) -> DataFrame:
     """Per window, publisher, region and bucket of cookies the sums so far, whenever they change.
 
     Cookies of one bucket are in no other, so the uniques of buckets add up. A null cookie counts as an impression
-    only. Rows of windows that the watermark has passed are dropped (``windows_with_late_rows`` keeps them). Output
+    only. The first row of a cookie is told by ``dropDuplicates``, whose state is one entry per cookie that is written once;
+    the stream is read twice for it. Rows of windows that the watermark has passed are dropped (``windows_with_late_rows`` keeps them). Output
     mode is update; store with ``start_changes`` and read with ``latest_uniques``.
     """
-    width, kind = _micros(stream.sparkSession, duration), _sum_type(stream)
-    out = _keyed(stream.where("time_stamp IS NOT NULL"), duration, watermark, unknown, buckets).groupBy(
-        *KEYS).transformWithStateInPandas(
-        _Uniques(width, kind),
-        f"window_start long, publisher string, geo string, bucket int, first_seen long, sum_bids {kind}, "
-        "n_bids long, imps long, uniques long", "Update", "EventTime")
+    _micros(stream.sparkSession, duration)
+    rows = resolved(stream.where("time_stamp IS NOT NULL"), unknown).withWatermark("time_stamp", watermark or duration)
+    # The instant as a number, so that the window stays the only event-time column.
+    rows = rows.select(F.window("time_stamp", duration).alias("window"), *PUB_GEO, _bucket(buckets), "cookie",
+                       F.unix_micros("time_stamp").alias("instant"), "bid")
+    keys = ["window", *PUB_GEO, "bucket"]
+    firsts = rows.where("cookie IS NOT NULL").select(*keys, "cookie").dropDuplicates()
+    both = (rows.select(*keys, "instant", "bid", F.lit(1).alias("imps"), F.lit(0).alias("uniques"))
+            .unionByName(firsts.select(*keys, F.lit(0).alias("imps"), F.lit(1).alias("uniques")), True))
+    out = both.groupBy(*keys).agg(
+        F.min("instant").alias("instant"), F.sum("bid").alias("sum_bids"), F.count("bid").alias("n_bids"),
+        F.sum("imps").alias("imps"), F.sum("uniques").alias("uniques"))
     return out.select(
-        F.timestamp_micros("window_start").alias("window_start"),
-        F.timestamp_micros(F.col("window_start") + width).alias("window_end"), *PUB_GEO, "bucket",
-        F.timestamp_micros("first_seen").alias("first_seen"), "sum_bids", "n_bids", "imps", "uniques")
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *PUB_GEO, "bucket",
+        F.timestamp_micros("instant").alias("first_seen"), "sum_bids", "n_bids", "imps", "uniques")
 
 
 def start_changes(changes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,

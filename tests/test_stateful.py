@@ -1,5 +1,9 @@
 import datetime as dt
+import re
+from decimal import Decimal
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +81,54 @@ def test_early_uniques_know_open_windows(spark, landed):
     assert rows(stateful.latest_uniques(spark, f"{home}/compact").select(*shown)) == want
 
 
+def test_early_uniques_are_built_in_operators(spark, landed):
+    plan = stateful.early_uniques(replay(spark, landed), "1 second")._jdf.queryExecution().analyzed().toString()
+    assert "Pandas" not in plan and "Deduplicate" in plan and "Aggregate" in plan
+
+
+def test_a_state_is_a_window_and_a_bucket(spark, landed):
+    """And not one per publisher and region, since a call to the state store costs far more than a row."""
+    plan = stateful.windows_with_late_rows(replay(spark, landed), "1 second")._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"TransformWithStateInPySpark .*\)#\d+, 2, \[", plan)  # grouped by two columns
+
+
+class _Memory:
+    """Handle, value, list and timer of one state, in memory."""
+
+    def __init__(self):
+        self.value, self.rows, self.most, self.timers = None, [], 0, []
+
+    def getValueState(self, name, schema):
+        return SimpleNamespace(get=lambda: self.value, update=lambda v: setattr(self, "value", v),
+                               clear=lambda: setattr(self, "value", None))
+
+    def getListState(self, name, schema):
+        return SimpleNamespace(get=lambda: iter(list(self.rows)), put=self.keep,
+                               appendList=lambda rows: self.keep(self.rows + rows), clear=lambda: self.keep([]))
+
+    def keep(self, rows):
+        self.rows = list(rows)
+        self.most = max(self.most, len(rows))
+
+    def registerTimer(self, end):
+        self.timers.append(end)
+
+
+def test_a_state_does_not_grow_with_micro_batches():
+    handle, at = _Memory(), SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    windows = stateful._Windows(1_000_000, "decimal(28,2)")
+    windows.init(handle)
+    for n in range(500):
+        part = pd.DataFrame({"instant": [500 - n] * 20, "publisher": [f"p{i % 10}" for i in range(20)], "geo": "g",
+                             "bid": [None if i < 10 and n % 2 else Decimal("0.01") for i in range(20)], "cookie": "c"})
+        assert not list(windows.handleInputRows((0, 3), iter([part]), at) or ())
+    assert handle.timers == [1000] and handle.most <= stateful.SLACK + 30
+    got = pd.concat(windows.handleExpiredTimer((0, 3), at, None))
+    assert sorted(got[["publisher", "instant", "sum_bids", "n_bids", "imps", "kind"]].itertuples(index=False, name=None)) == [
+        (f"p{i}", 1, Decimal("7.50"), 750, 1000, "on time") for i in range(10)]
+    assert handle.value is None and not handle.rows
+
+
 def test_windows_need_a_length(spark, landed):
     with pytest.raises(ValueError):
         stateful.windows_with_late_rows(replay(spark, landed), "0 seconds")
