@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+WRITE_BYTES = 1 << 20
 TEXT_FIELDS = ("publisher", "advertiser", "website", "geo")
 
 
@@ -57,37 +58,47 @@ def payloads(impressions: DataFrame, per_payload: int = 1) -> DataFrame:
     return as_messages(impressions).mapInPandas(encode, "payload binary")
 
 
+def landed_segments(folder: str, per_segment: int):
+    """Write records, sorted by queue partition ``p``, to segments as they come; returns how many segments."""
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, root = pafs.FileSystem.from_uri(folder)
+        out, at, number, end, written = None, None, 0, 0, 0
+        try:
+            for batch in batches:
+                for p, payload in zip(batch["p"].tolist(), batch["payload"].tolist()):
+                    if out is not None and (p != at or number == end):
+                        out.close()
+                        out = None
+                    if p != at:
+                        at, number = p, 0
+                    if out is None:
+                        fs.create_dir(f"{root}/partition={at}")
+                        out = fs.open_output_stream(f"{root}/partition={at}/{number:018d}.seg", buffer_size=WRITE_BYTES)
+                        end, written = number + per_segment, written + 1
+                    out.write(payload)
+                    number += 1
+        finally:
+            if out is not None:
+                out.close()
+        yield pd.DataFrame({"n": [written]})
+
+    return write
+
+
 def write_segments(impressions: DataFrame, folder: str, partitions: int, per_segment: int) -> int:
     """Impressions as a queue lands them: raw segments named by their first record; returns how many.
 
     ``event_id`` deals them to queue partitions and orders them there.
     """
     dealt = as_messages(impressions, F.pmod("event_id", F.lit(partitions)).cast("int").alias("p"), "event_id")
-    values = (dealt.repartition(partitions, "p").sortWithinPartitions("p", "event_id")
-              .select("p", *as_messages(impressions).columns))
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, root = pafs.FileSystem.from_uri(folder)
-        at, held, number = None, [], 0
-
-        def land():
-            fs.create_dir(f"{root}/partition={at}")
-            with fs.open_output_stream(f"{root}/partition={at}/{number - len(held):018d}.seg") as out:
-                out.write(b"".join(held))
-
-        written = 0
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for p, *values in batch.itertuples(index=False, name=None):
-                if held and (p != at or len(held) == per_segment):
-                    land()
-                    held, written = [], written + 1
-                if p != at:
-                    at, number = p, 0
-                held.append(encode_record(*values))
-                number += 1
-        if held:
-            land()
-            written += 1
-        yield pd.DataFrame({"n": [written]})
+            values = batch.drop(columns=["p", "event_id"]).itertuples(index=False, name=None)
+            yield batch[["p", "event_id"]].assign(payload=[encode_record(*row) for row in values])
+
+    # Every task encodes; those that write, one per queue partition at most, hold no more than a buffer.
+    records = (dealt.mapInPandas(encode, "p int, event_id bigint, payload binary")
+               .repartition(partitions, "p").sortWithinPartitions("p", "event_id").select("p", "payload"))
 
-    return values.mapInPandas(write, "n long").agg(F.sum("n")).first()[0]
+    return records.mapInPandas(landed_segments(folder, per_segment), "n long").agg(F.sum("n")).first()[0]
