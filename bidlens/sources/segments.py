@@ -14,7 +14,9 @@ import json
 import math
 import struct
 import sys
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -37,6 +39,8 @@ READ_BYTES = 1 << 20
 #: A record longer than this is a fault, so that a wrong length does not load a whole file.
 MAX_RECORD = 16 << 20
 QUEUE_ROWS = 4096  # records per emitted Arrow batch
+#: A task of the stream takes neighbouring ranges of a segment up to this size, so that short ranges do not make many tasks.
+QUEUE_TASK_BYTES = 4 << 20
 RANGE_DDL = ("path string, size bigint, first bigint, start bigint, length bigint, "
              "records bigint, error string")
 RANGE_FIELDS = pa.schema([("path", pa.string()), ("size", pa.int64()), ("first", pa.int64()),
@@ -155,12 +159,12 @@ def decode_segments(spark: SparkSession, folder: str, schema: T.StructType = IMP
 # --- as a stream ---------------------------------------------------------------
 
 class QueueRange(InputPartition):
-    """Records ``since`` to ``until`` of one queue partition, all in one range of a segment."""
+    """Records ``since`` to ``until`` of one queue partition, all in neighbouring ranges of a segment; of each range
+    its ``start, length, first, records``."""
 
-    def __init__(self, partition: int, path: str, start: int, length: int, first: int, since: int, until: int):
+    def __init__(self, partition: int, path: str, ranges: list[tuple[int, int, int, int]], since: int, until: int):
         super().__init__(None)
-        self.partition, self.path, self.start, self.length = partition, path, start, length
-        self.first, self.since, self.until = first, since, until
+        self.partition, self.path, self.ranges, self.since, self.until = partition, path, ranges, since, until
 
 
 class QueueReader(DataSourceStreamReader):
@@ -257,6 +261,18 @@ class QueueReader(DataSourceStreamReader):
                 end[p] = last if most is None else min(most, last)
         return {**noted, **end}
 
+    @staticmethod
+    def _packed(ranges: Iterable[dict]) -> Iterator[list[dict]]:
+        """Neighbouring ranges of a segment, as many as a task takes."""
+        part, size = [], 0
+        for r in ranges:
+            if part and size + r["length"] > QUEUE_TASK_BYTES:
+                yield part
+                part, size = [], 0
+            part.append(r)
+            size += r["length"]
+        yield part
+
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         planned = []
         for p, until in end.items():
@@ -266,29 +282,36 @@ class QueueReader(DataSourceStreamReader):
             if until < since:
                 raise ValueError(f"partition {p} stands at {since}, but {self.progress} says {until}")
             if since < until:
-                planned += [QueueRange(int(p), r["path"], r["start"], r["length"], r["first"],
-                                       max(since, r["first"]), min(until, r["first"] + r["records"]))
-                            for r in self._from(p, since, until)]
+                for path, ranges in groupby(self._from(p, since, until), key=itemgetter("path")):
+                    for part in self._packed(ranges):
+                        last = part[-1]["first"] + part[-1]["records"]
+                        planned.append(QueueRange(
+                            int(p), path, [(r["start"], r["length"], r["first"], r["records"]) for r in part],
+                            max(since, part[0]["first"]), min(until, last)))
         self._note(end)
         return planned
 
     def read(self, partition: QueueRange) -> Iterator[pa.RecordBatch]:
-        readers = _readers(self.schema)
         _, file = _opened(partition.path)
         with file:
-            buf = file.read_at(partition.length, partition.start)
-        pos, number, offsets, records = 0, partition.first, [], []
-        while number < partition.until:
+            for start, length, first, records in partition.ranges:
+                yield from self._records(partition.partition, file.read_at(length, start), first,
+                                         max(first, partition.since), min(first + records, partition.until))
+
+    def _records(self, partition: int, buf: bytes, first: int, since: int, until: int) -> Iterator[pa.RecordBatch]:
+        readers = _readers(self.schema)
+        pos, number, offsets, records = 0, first, [], []
+        while number < until:
             at = pos
             for read in readers:
                 _, at = read(buf, at)
-            if number >= partition.since:
+            if number >= since:
                 offsets.append(number)
                 records.append(buf[pos:at])
             pos, number = at, number + 1
-            if len(records) >= QUEUE_ROWS or number == partition.until:
+            if len(records) >= QUEUE_ROWS or number == until:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([partition.partition] * len(offsets), pa.int32()), pa.array(offsets, pa.int64()),
+                    [pa.array([partition] * len(offsets), pa.int32()), pa.array(offsets, pa.int64()),
                      pa.array(records, pa.binary())], ["partition", "offset", "payload"])
                 offsets, records = [], []
 

@@ -1,5 +1,7 @@
+import glob
 import os
 
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -141,6 +143,41 @@ def test_planning_a_batch_again_gives_the_same_parts(spark, folder, data):
     assert offsets == [99, 100]
 
 
+def test_short_ranges_share_a_task(spark, folder, data, monkeypatch):
+    local = folder.removeprefix("file:")
+    write_segments(data.impressions.where("event_id < 300"), f"{folder}/queue", 1, 150)
+    segments.index_segments(spark, f"{folder}/queue", range_bytes=500)
+
+    def parts():
+        reader = segments.QueueReader(f"{local}/queue", f"{local}/progress", None, IMPRESSION_MESSAGE)
+        found = reader.partitions({"0": 10}, {"0": 290})
+        return found, [o for p in found for b in reader.read(p) for o in b.column("offset").to_pylist()]
+
+    found, offsets = parts()
+    assert len(found) == 2 and offsets == list(range(10, 290))  # a task a segment
+    monkeypatch.setattr(segments, "QUEUE_TASK_BYTES", 2500)
+    found, offsets = parts()
+    assert len(found) > 4 and offsets == list(range(10, 290))
+    assert all(sum(r[1] for r in p.ranges) <= 2500 for p in found)
+
+
+def test_segments_are_written_as_rows_come(spark, folder):
+    """No writer holds a segment: bytes are in the file before all of its rows are there."""
+    from fixtures.encode import landed_segments
+
+    def batches():
+        yield pd.DataFrame({"p": [1] * 3, "payload": [b"a" * (1 << 20)] * 3})
+        seen.append(sum(os.path.getsize(f) for f in glob.glob(f"{local}/partition=1/*.seg")))
+        yield pd.DataFrame({"p": [1, 1, 2], "payload": [b"b", b"c", b"d"]})
+
+    local, seen = folder.removeprefix("file:"), []
+    assert pd.concat(landed_segments(folder, 4)(batches()))["n"].sum() == 3
+    assert seen[0] >= 2 << 20
+    sizes = {f.removeprefix(local): os.path.getsize(f) for f in glob.glob(f"{local}/*/*.seg")}
+    assert sizes == {f"/partition=1/{0:018d}.seg": (3 << 20) + 1, f"/partition=1/{4:018d}.seg": 1,
+                     f"/partition=2/{0:018d}.seg": 1}
+
+
 def test_progress_of_another_query_and_lost_records_are_errors(spark, folder, data):
     local = folder.removeprefix("file:")
     write_segments(data.impressions.where("event_id < 300"), f"{folder}/queue", 1, 100)
