@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from bidlens.operators.sizing import never_broadcast
 from bidlens.plans.mixed import TABLE_NAMES, MixedTables
 from bidlens.sources.workspace import work_dir
 
@@ -144,7 +145,8 @@ class Data:
         if name not in self._frames:
             if name in VIEWS:
                 text = VIEWS[name].replace("{each_warehouse}", EACH_WAREHOUSE["spark"])
-                inputs = {n: self[n] for n in _inputs(name)}
+                # Orders are joined with their lines: two large tables, of which none is broadcast.
+                inputs = {n: never_broadcast(self[n]) if n == "orders" else self[n] for n in _inputs(name)}
                 self._frames[name] = self.spark.sql(text, **inputs)
             else:
                 self._frames[name] = read_given(self.spark, f"{self.sf_dir}/{name}.parquet")

@@ -167,6 +167,13 @@ def test_filters_and_columns_reach_the_scan(data):
     assert "l_comment" not in scan and "l_tax" not in scan
 
 
+def test_supplier_revenue_does_not_broadcast_orders(data):
+    """Orders and their lines meet inside the view; Spark takes orders for the bytes of a compressed file."""
+    plan = mixed.supplier_revenue(data.mixed())._jdf.queryExecution().executedPlan().toString()
+    joins = [s for s in plan.split("\n") if "Join [" in s and "o_orderkey#" in s]
+    assert joins and all("SortMergeJoin" in s for s in joins)
+
+
 @pytest.mark.parametrize("number, other", [(5, "ol_i_id"), (7, "ol_i_id"), (8, "ol_i_id"), (9, "ol_i_id"),
                                            (15, "ol_i_id"), (16, "i_id"), (20, "ol_i_id"), (21, "ol_i_id")])
 @pytest.mark.parametrize("checked", [False, True])
