@@ -1,6 +1,7 @@
 """The order-processing reports on tables small enough to work out by hand."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -185,6 +186,16 @@ def test_stock_is_never_broadcast(data, number, other, checked):
     assert joins and all("SortMergeJoin" in s for s in joins)
 
 
+@pytest.mark.parametrize("number", [15])
+@pytest.mark.parametrize("checked", [False, True])
+def test_orders_lines_and_customers_are_never_broadcast(data, number, checked):
+    """Spark takes them for the bytes of their compressed files, here far below its limit."""
+    plan = mixed.ch_query(data.mixed(checked), number)._jdf.queryExecution().executedPlan().toString()
+    keys = r"\b(o_id|ol_o_id|no_o_id|m_o_id|o_c_id|c_id|o_orderkey|l_orderkey)#"
+    joins = [s for s in plan.split("\n") if "Join [" in s and re.search(keys, s)]
+    assert joins and all("SortMergeJoin" in s for s in joins)
+
+
 def test_reports_from_the_catalog(spark, tables):
     for name in mixed.TABLE_NAMES:
         getattr(tables, name).createOrReplaceTempView(name)
