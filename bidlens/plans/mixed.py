@@ -240,13 +240,13 @@ def nation_pair_revenue(t: MixedTables, first: str = "Germany",
               .select("c_id", "c_w_id", "c_d_id", "c_nation",
                       F.col("n2.n_name").alias("cust_name")))
     orders = t.orders.select("o_id", "o_w_id", "o_d_id", "o_c_id", "o_entry_d").join(
-        buyers, _equal(CUSTOMER_KEY))
+        never_broadcast(buyers), _equal(CUSTOMER_KEY))
     lines = t.order_line.select("ol_o_id", "ol_w_id", "ol_d_id", "ol_i_id", "ol_supply_w_id",
                                 "ol_amount", t.line_supplier("ol_supply_w_id").alias("ol_suppkey"))
     crossed = (((F.col("supp_name") == first) & (F.col("cust_name") == second))
                | ((F.col("supp_name") == second) & (F.col("cust_name") == first)))
     sold = (lines.join(suppliers, F.col("ol_suppkey") == F.col("su_suppkey"))
-            .join(orders, _equal(ORDER_KEY) & crossed))
+            .join(never_broadcast(orders), _equal(ORDER_KEY) & crossed))
     keys = [F.col("su_nationkey").alias("supp_nation"), F.col("c_nation").alias("cust_nation"),
             F.year("o_entry_d").alias("l_year")]
     return (_sums_in_stock(sold, t.stock, "ol_supply_w_id", keys, amount=F.sum("ol_amount"))
