@@ -289,7 +289,7 @@ def product_profit(t: MixedTables, item_suffix: str = "bb") -> DataFrame:
                 t.line_supplier("ol_supply_w_id").alias("ol_suppkey"))
              .join(items, F.col("ol_i_id") == F.col("i_id"))
              .join(suppliers, F.col("ol_suppkey") == F.col("su_suppkey")))
-    orders = t.orders.select("o_id", "o_w_id", "o_d_id", "o_entry_d")
+    orders = never_broadcast(t.orders.select("o_id", "o_w_id", "o_d_id", "o_entry_d"))
     return (_sums_in_stock(lines.join(orders, _equal(ORDER_KEY)), t.stock, "ol_supply_w_id",
                            [F.col("n_name"), F.year("o_entry_d").alias("l_year")],
                            amount=F.sum("ol_amount"))
