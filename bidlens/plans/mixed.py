@@ -503,11 +503,11 @@ def waiting_suppliers(t: MixedTables, nation: str = "Germany") -> DataFrame:
     latest = t.order_line.groupBy(
         F.col("ol_o_id").alias("m_o_id"), F.col("ol_w_id").alias("m_w_id"),
         F.col("ol_d_id").alias("m_d_id")).agg(F.max("ol_delivery_d").alias("last_delivery"))
-    last = (ours.join(latest, _equal({"ol_o_id": "m_o_id", "ol_w_id": "m_w_id",
-                                      "ol_d_id": "m_d_id"})
+    last = (ours.join(never_broadcast(latest), _equal({"ol_o_id": "m_o_id", "ol_w_id": "m_w_id",
+                                                       "ol_d_id": "m_d_id"})
                       & (F.col("ol_delivery_d") >= F.col("last_delivery"))))
     orders = t.orders.select("o_id", "o_w_id", "o_d_id", "o_entry_d")
-    waited = last.join(orders, _equal(ORDER_KEY)
+    waited = last.join(never_broadcast(orders), _equal(ORDER_KEY)
                        & (F.col("ol_delivery_d") > F.col("o_entry_d")))
     return (_sums_in_stock(waited, t.stock, "ol_w_id", [F.col("su_name")], n=F.count(F.lit(1)))
             .groupBy("su_name").agg(F.sum("n").alias("numwait"))
