@@ -26,6 +26,13 @@ def test_order_lines_meet_orders_without_a_shuffle(spark, data):
     assert "Exchange" not in latest
 
 
+def test_stored_orders_are_not_broadcast(data):
+    """Stored tables are compressed, so Spark takes them for smaller than their rows."""
+    plan = plan_of(mixed.ch_query(bucketed_orders(data), 21, nation="NATION_1"))
+    joins = [s for s in plan.split("\n") if "Join [" in s and ("ol_o_id#" in s or "o_orderkey#" in s)]
+    assert len(joins) > 1 and all("SortMergeJoin" in s for s in joins)
+
+
 def test_a_bucket_is_one_file_and_keeps_its_rows(spark):
     path, name = work_dir(spark, "bucketed"), f"b_{uuid.uuid4().hex}"
     df = spark.range(0, 1000, 1, 7).selectExpr("id % 50 AS a", "CASE WHEN id % 9 > 0 THEN id % 3 END AS b", "id AS c")
