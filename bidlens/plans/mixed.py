@@ -170,11 +170,11 @@ def undelivered_revenue(t: MixedTables, state_prefix: str = "A",
         "c_id", "c_w_id", "c_d_id")
     open_orders = (t.orders.where(_after("o_entry_d", entered_after))
                    .select("o_id", "o_w_id", "o_d_id", "o_c_id", "o_entry_d")
-                   .join(buyers, _equal(CUSTOMER_KEY))
-                   .join(t.new_order, _equal(NEW_ORDER_KEY)))
+                   .join(never_broadcast(buyers), _equal(CUSTOMER_KEY))
+                   .join(never_broadcast(t.new_order), _equal(NEW_ORDER_KEY)))
     per_order = (t.order_line.groupBy("ol_o_id", "ol_w_id", "ol_d_id")
                  .agg(F.sum("ol_amount").alias("amount")))
-    return (per_order.join(open_orders, _equal(ORDER_KEY))
+    return (per_order.join(never_broadcast(open_orders), _equal(ORDER_KEY))
             .groupBy("ol_o_id", "ol_w_id", "ol_d_id", "o_entry_d")
             .agg(F.sum("amount").alias("revenue"))
             .select("ol_o_id", "ol_w_id", "ol_d_id", "revenue", "o_entry_d")
@@ -195,7 +195,7 @@ def late_orders(t: MixedTables, form: str = "lines") -> DataFrame:
     elif form != "lines":
         raise ValueError(f"unknown form: {form}")
     late = orders.join(
-        lines, _equal(ORDER_KEY) & (F.col("ol_delivery_d") >= F.col("o_entry_d")))
+        never_broadcast(lines), _equal(ORDER_KEY) & (F.col("ol_delivery_d") >= F.col("o_entry_d")))
     return (late.groupBy("o_ol_cnt").agg(F.count(F.lit(1)).alias("order_count"))
             .orderBy("o_ol_cnt"))
 
@@ -262,7 +262,7 @@ def market_share(t: MixedTables, nation: str = "Germany", region: str = "Europe"
               .join(home, F.col("c_nation") == F.col("n_nationkey"))
               .select("c_id", "c_w_id", "c_d_id"))
     orders = t.orders.select("o_id", "o_w_id", "o_d_id", "o_c_id", "o_entry_d").join(
-        buyers, _equal(CUSTOMER_KEY))
+        never_broadcast(buyers), _equal(CUSTOMER_KEY))
     items = t.few(t.item.where((F.col("i_id") < items_below)
                                & F.col("i_data").endswith(item_suffix)).select("i_id"))
     suppliers = t.few(t.supplier.join(
@@ -272,7 +272,7 @@ def market_share(t: MixedTables, nation: str = "Germany", region: str = "Europe"
                      t.line_supplier("ol_supply_w_id").alias("ol_suppkey"))
              .join(items, F.col("ol_i_id") == F.col("i_id"))
              .join(suppliers, F.col("ol_suppkey") == F.col("su_suppkey"))
-             .join(orders, _equal(ORDER_KEY)))
+             .join(never_broadcast(orders), _equal(ORDER_KEY)))
     mine = F.sum(F.when(F.col("n_name") == nation, F.col("ol_amount")).otherwise(F.lit(0)))
     return (_sums_in_stock(lines, t.stock, "ol_supply_w_id", [F.year("o_entry_d").alias("l_year")],
                            mine=mine, amount=F.sum("ol_amount"))
@@ -305,10 +305,10 @@ def customer_revenue(t: MixedTables, entered_since: str = START) -> DataFrame:
     lines = t.order_line.where(_since("ol_delivery_d", entered_since)).select(
         "ol_o_id", "ol_w_id", "ol_d_id", "ol_delivery_d", "ol_amount")
     # Sum to one row per customer key before the wide customer columns are joined.
-    spent = (lines.join(orders, _equal(ORDER_KEY)
+    spent = (lines.join(never_broadcast(orders), _equal(ORDER_KEY)
                         & (F.col("o_entry_d") <= F.col("ol_delivery_d")))
              .groupBy("o_c_id", "o_w_id", "o_d_id").agg(F.sum("ol_amount").alias("spent")))
-    return (spent.join(buyers, _equal(CUSTOMER_KEY))
+    return (spent.join(never_broadcast(buyers), _equal(CUSTOMER_KEY))
             .groupBy("c_id", "c_last", "c_city", "c_phone", "n_name")
             .agg(F.sum("spent").alias("revenue"))
             .select("c_id", "c_last", "revenue", "c_city", "c_phone", "n_name")
@@ -358,7 +358,7 @@ def priority_lines(t: MixedTables, delivered_before: str = OPEN_END) -> DataFram
         "o_id", "o_w_id", "o_d_id", "o_ol_cnt", "o_entry_d", "o_carrier_id")
     lines = t.order_line.where(_before("ol_delivery_d", delivered_before)).select(
         "ol_o_id", "ol_w_id", "ol_d_id", "ol_delivery_d")
-    return (lines.join(orders, _equal(ORDER_KEY)
+    return (lines.join(never_broadcast(orders), _equal(ORDER_KEY)
                        & (F.col("o_entry_d") <= F.col("ol_delivery_d")))
             .groupBy("o_ol_cnt").agg(F.sum(high).alias("high_line_count"),
                                      F.sum(low).alias("low_line_count"))
@@ -370,7 +370,7 @@ def order_count_distribution(t: MixedTables, carrier_above: int = 8) -> DataFram
     counted = (t.orders.where(F.col("o_carrier_id") > carrier_above)
                .groupBy("o_c_id", "o_w_id", "o_d_id").agg(F.count("o_id").alias("n")))
     per_customer = (t.customer.select("c_id", "c_w_id", "c_d_id")
-                    .join(counted, _equal(CUSTOMER_KEY), "left")
+                    .join(never_broadcast(counted), _equal(CUSTOMER_KEY), "left")
                     .groupBy("c_id").agg(F.sum(F.coalesce("n", F.lit(0))).alias("c_count")))
     return (per_customer.groupBy("c_count").agg(F.count(F.lit(1)).alias("custdist"))
             .orderBy(F.desc("custdist"), F.desc("c_count")))
@@ -447,7 +447,8 @@ def large_orders(t: MixedTables, amount_above: int = 200) -> DataFrame:
                  .agg(F.sum("ol_amount").alias("amount")))
     orders = t.orders.select("o_id", "o_w_id", "o_d_id", "o_c_id", "o_entry_d", "o_ol_cnt")
     buyers = t.customer.select("c_id", "c_w_id", "c_d_id", "c_last")
-    return (per_order.join(orders, _equal(ORDER_KEY)).join(buyers, _equal(CUSTOMER_KEY))
+    return (per_order.join(never_broadcast(orders), _equal(ORDER_KEY))
+            .join(never_broadcast(buyers), _equal(CUSTOMER_KEY))
             .groupBy("o_id", "o_w_id", "o_d_id", "c_id", "c_last", "o_entry_d", "o_ol_cnt")
             .agg(F.sum("amount").alias("amount_sum"))
             .where(F.col("amount_sum") > amount_above)
@@ -534,7 +535,7 @@ def rich_without_orders(t: MixedTables, phone_digits: tuple = PHONE_DIGITS,
     placed = (t.orders if orders is None else orders).select("o_c_id", "o_w_id", "o_d_id")
     rich = t.customer.where(F.substring("c_phone", 1, 1).isin(*phone_digits)
                             & (F.col("c_balance").cast("double") > limit))
-    return (rich.join(placed, _equal(CUSTOMER_KEY), "left_anti")
+    return (rich.join(never_broadcast(placed), _equal(CUSTOMER_KEY), "left_anti")
             .groupBy(F.substring("c_state", 1, 1).alias("country"))
             .agg(F.count(F.lit(1)).alias("numcust"), F.sum("c_balance").alias("totacctbal"))
             .orderBy("country"))
